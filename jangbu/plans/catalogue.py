@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jangbu.plans import references
+from jangbu.plans import drift, profile, references, selection
 
-MODULES = (references,)
+MODULES = (references, drift, selection, profile)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
