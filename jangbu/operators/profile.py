@@ -17,9 +17,9 @@ from pyspark.sql.window import Window as W
 
 from jangbu.operators.selection import exact_quantiles
 
-#: Bits to state one character of a class, one element of an expression, one repeat count, one free character.
+#: Bits to state one character of a class, one that is no letter or digit, one element of an expression, one length.
 BITS = {"9": 3.32, "A": 4.70, "a": 4.70, "가": 13.45}
-ELEMENT_BITS, LENGTH_BITS, FREE_BITS, FREE_WIDE_BITS = 8.0, 4.0, 6.57, 16.0
+OTHER_BITS, ELEMENT_BITS, LENGTH_BITS = 6.57, 8.0, 4.0
 
 
 def numeric(field: T.StructField) -> bool:
@@ -27,7 +27,13 @@ def numeric(field: T.StructField) -> bool:
 
 
 def _text(df: DataFrame, name: str) -> Column:
-    return F.col(name).cast("string")
+    """A value as text; floating numbers in plain notation where that is exact."""
+    c = F.col(name)
+    if not isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return c.cast("string")
+    size = F.abs(c)
+    plain = F.regexp_replace(F.when((size < 1e19) & ((size >= 1e-3) | (size == 0)), c).cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
+    return F.coalesce(F.when(size == 0, c.cast("string")), plain, c.cast("string"))
 
 
 def value_counts(df: DataFrame, columns: list[str], load: str | None = None) -> DataFrame:
@@ -95,8 +101,8 @@ def _regex(exact: Column, low: Column, high: Column, fixed: Column) -> Column:
 def induce(counts: DataFrame) -> DataFrame:
     """The shapes that make each column's expression: ``column_name, exact, pattern, distinct_values, rows``.
 
-    Two-part description length over all distinct values. Stating a value costs the bits of its characters' classes under
-    a shape, or of free characters without one. A shape with run lengths fixed costs its elements once and no lengths per
+    Two-part description length over all distinct values. Stating a value costs the bits of its characters within their
+    classes under a shape; without one, also those of naming each class, by the classes' shares in the column. A shape with run lengths fixed costs its elements once and no lengths per
     value; with lengths free it costs fewer elements and a length per run and value. For each collapsed shape the cheaper
     form is taken, and only if the values become shorter by more than the shape and its index cost; the rest of the
     values don't conform. Every choice is a sum over one collapsed shape, so no column is gathered anywhere.
@@ -110,23 +116,25 @@ def induce(counts: DataFrame) -> DataFrame:
     of_class = {c: length(F.col("exact")) - length(F.regexp_replace("exact", c, "")) for c in BITS}
     known = reduce(lambda a, b: a + b, [n * BITS[c] for c, n in of_class.items()])
     others = length(F.col("exact")) - reduce(lambda a, b: a + b, of_class.values())
-    free = of_class["가"] * FREE_WIDE_BITS + (length(F.col("exact")) - of_class["가"]) * FREE_BITS + LENGTH_BITS
     runs = length(F.regexp_replace(plus, "[^9Aa가]", ""))
-    costed = exact.withColumns({"plus": plus, "known": known * F.col("d"), "free": free * F.col("d"), "runs": runs, "elements": runs + others})
-    total = W.partitionBy("column_name")
+    costed = exact.withColumns({"plus": plus, "known": known * F.col("d"), "runs": runs, "elements": runs + others, **{f"in_{i}": n * F.col("d") for i, n in enumerate(of_class.values())}, "in_other": others * F.col("d")})
+    classes = [*[f"in_{i}" for i in range(len(of_class))], "in_other"]
     per_plus = costed.groupBy("column_name", "plus").agg(
-        F.sum("d").alias("dp"), F.sum("known").alias("known"), F.sum("free").alias("free"), F.max("runs").alias("runs"), F.max("elements").alias("elements"),
+        F.sum("d").alias("dp"), F.sum("known").alias("known"), *[F.sum(c).alias(c) for c in classes], F.max("runs").alias("runs"), F.max("elements").alias("elements"),
         F.sum(F.col("elements") * ELEMENT_BITS + F.col("runs") * LENGTH_BITS - F.col("d") * F.log2("d")).alias("model_fixed"),
     )
-    per_column = costed.groupBy("column_name").agg(F.sum("d").alias("dc"))
+    letters = reduce(lambda a, b: a + b, [F.sum(c) for c in classes])
+    naming = [F.log2(letters / F.greatest(F.sum(c), F.lit(1.0))).alias(f"name_{c}") for c in classes]
+    per_column = costed.groupBy("column_name").agg(F.sum("d").alias("dc"), *naming)  # a row per column of the table
+    free = F.col("known") + F.col("in_other") * OTHER_BITS + F.col("dp") * LENGTH_BITS + reduce(lambda a, b: a + b, [F.col(c) * F.col(f"name_{c}") for c in classes])
     index = F.col("dp") * F.log2(F.col("dc").cast("double"))
     choice = per_plus.join(F.broadcast(per_column), "column_name").withColumns({
         "as_plus": F.col("known") + F.col("dp") * F.col("runs") * LENGTH_BITS + F.col("elements") * ELEMENT_BITS + index - F.col("dp") * F.log2(F.col("dp").cast("double")),
         "as_fixed": F.col("known") + F.col("model_fixed") + index,
+        "free": free,
     })
     taken = choice.where(F.least("as_plus", "as_fixed") < F.col("free")).select("column_name", "plus", (F.col("as_fixed") <= F.col("as_plus")).alias("fixed"))
     out = costed.join(taken, ["column_name", "plus"])
-    del total
     return out.select(
         "column_name",
         "exact",
