@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from jangbu.functions.text import WHITE_SPACE, blank_to_null
 from jangbu.llm.agencies import agency_survivors
+from jangbu.llm.leakage import leaks, without_leaks
 from jangbu.llm.percentiles import merged, percentiles, summarise
 from jangbu.session import cut, table
 
@@ -48,6 +49,15 @@ def p4_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelt.groupBy("agency").agg(pick("agency_code"), pick("agency_name_ko"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p8_decontaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, its leaked passages cut out."""
+    return without_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
 _CHARS = " || ".join(f"chr({ord(c)})" for c in WHITE_SPACE)
 
 
@@ -96,6 +106,8 @@ QUERIES = {
     "p1_award_rate_by_load": p1_award_rate_by_load,
     "p4_found": p4_found,
     "p4_survivors": p4_survivors,
+    "p8_found": p8_found,
+    "p8_decontaminated": p8_decontaminated,
 }
 SQL = {
     "p1_award_rate_percentiles": _sql_percentiles("business_div_name_ko"),
