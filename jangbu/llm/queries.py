@@ -9,6 +9,8 @@ from jangbu.functions.text import WHITE_SPACE, blank_to_null
 from jangbu.llm.agencies import agency_survivors
 from jangbu.llm.leakage import leaks, without_leaks
 from jangbu.llm.percentiles import merged, percentiles, summarise
+from jangbu.llm.pii import pii_found
+from jangbu.llm.surrogates import collisions, entities, redacted
 from jangbu.session import cut, table
 
 PROBS = (0.05, 0.25, 0.5, 0.75, 0.95)
@@ -58,6 +60,24 @@ def p8_decontaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+#: Key of the surrogates in the named queries; a real run passes a secret of its own.
+DEMO_KEY = b"jangbu demonstration key, not a secret"
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_found(table(spark, sf_dir, "documents"))
+
+
+def p9_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with typed placeholders, and with surrogates in their place."""
+    return redacted(table(spark, sf_dir, "documents"), DEMO_KEY)
+
+
+def p9_surrogate_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many values there are of each type, and how many surrogates collide or disagree (none)."""
+    return collisions(cut(entities(pii_found(table(spark, sf_dir, "documents")), DEMO_KEY)))
+
+
 _CHARS = " || ".join(f"chr({ord(c)})" for c in WHITE_SPACE)
 
 
@@ -108,6 +128,9 @@ QUERIES = {
     "p4_survivors": p4_survivors,
     "p8_found": p8_found,
     "p8_decontaminated": p8_decontaminated,
+    "p9_found": p9_found,
+    "p9_redacted": p9_redacted,
+    "p9_surrogate_checks": p9_surrogate_checks,
 }
 SQL = {
     "p1_award_rate_percentiles": _sql_percentiles("business_div_name_ko"),
