@@ -47,7 +47,7 @@ _LABELLED = re.compile(r"(?:(?P<ko>[가-힣 ]*?(?:번호|코드))|(?P<en>[Nn]umb
 _OWN_NUMBER = re.compile(r"(?:주민|외국인|여권|면허|신분|생년|등록증|전화|연락|휴대|핸드폰|팩스|비상|identity|ID|passport|licen[cs]e|phone|mobile|contact)[가-힣 A-Za-z]*\Z", re.I)
 _FIRM_NUMBER = re.compile(r"(?:사업자|법인|물품|문서|도면|관리|공고|계약|발급|접수|제품|품목|분류|계좌|송장|product|item|file|tender|notice)[가-힣 A-Za-z]*\Z", re.I)
 
-_STREET_NUMBER = re.compile(r"(?:로|길|동|리|읍|면)\s((?:산\s?)?\d{1,5}(?:-\d{1,4})?)(번지)?(?![\d%:/]|[,.-]\d|\s?(?:k?m|mm|년|월|일|시|분|원|명|건|개|회|점|톤|부|쪽|차|조|항|호선|공구)|\s\d+:)")
+_STREET_NUMBER = re.compile(r"(?:로|길|동|리|읍|면)\s((?:산\s?)?\d{1,5}(?:-\d{1,4})?)(번지)?(?![\d%:/]|[,.-]\d|\s?k?m\b|(?:mm|년|월|일|시|분|원|명|건|개|회|점|톤|부|쪽|차|조|항|호선|공구)|\s\d+:)")
 _STREET_BEFORE = re.compile(r"(?:(?<![가-힣])[가-힣]{1,6}(?:특별자치도|특별자치시|특별시|광역시|도)\s)?(?<![가-힣])(?:[가-힣]{1,6}(?:시|군|구)\s){1,2}(?:[가-힣]{1,6}(?:읍|면)\s)?[가-힣0-9]{1,10}(?:대로|로|길|동|리|읍|면)(?:\s\d+번길)?\Z")
 _DETAIL = re.compile(r"(?:,?\s(?:지하\s?)?\d{1,4}(?:동|층|호)(?![가-힣0-9]*(?:호선|공구))){1,3}")
 _ADDRESS = re.compile(

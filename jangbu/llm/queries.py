@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from jangbu.functions.text import WHITE_SPACE, blank_to_null
 from jangbu.llm.agencies import agency_survivors
 from jangbu.llm.leakage import leaks, without_leaks
+from jangbu.llm.packing import fill_report, measured, packed
 from jangbu.llm.percentiles import merged, percentiles, summarise
 from jangbu.llm.pii import pii_found
 from jangbu.llm.surrogates import collisions, entities, redacted
@@ -51,6 +52,19 @@ def p4_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelt.groupBy("agency").agg(pick("agency_code"), pick("agency_name_ko"))
 
 
+def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(measured(table(spark, sf_dir, "documents"), "agency_code"))
+
+
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's place; the writing agency is the source that containers mix."""
+    return _placed(spark, sf_dir).drop("source", "cluster")
+
+
+def p7_fill_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_report(_placed(spark, sf_dir))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
@@ -126,6 +140,8 @@ QUERIES = {
     "p1_award_rate_by_load": p1_award_rate_by_load,
     "p4_found": p4_found,
     "p4_survivors": p4_survivors,
+    "p7_containers": p7_containers,
+    "p7_fill_report": p7_fill_report,
     "p8_found": p8_found,
     "p8_decontaminated": p8_decontaminated,
     "p9_found": p9_found,
