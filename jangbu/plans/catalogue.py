@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jangbu.plans import drift, profile, references, selection
+from jangbu.plans import cleaning, curation, drift, files, market, profile, references, relations, selection
 
-MODULES = (references, drift, selection, profile)
+MODULES = (curation, market, files, cleaning, relations, references, drift, selection, profile)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
