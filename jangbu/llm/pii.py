@@ -32,7 +32,7 @@ _TITLE = "|".join(sorted(TITLES.split(), key=len, reverse=True))
 
 _AT_SIGN = re.compile(r"[@＠]|골뱅이|[\[(（{]\s?(?:at|AT)\s?[\])）}]|\s(?:at|AT)\s(?=[A-Za-z0-9-]+(?:\s?[\[(]?(?:dot|DOT)|\.[A-Za-z]))")
 _LOCAL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*(?P<gap>\s?)\Z")
-_DOMAIN = re.compile(r"\s?[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:(?:\.|\s?[\[(](?:dot|DOT)[\])]\s?|\s(?:dot|DOT|점|닷)\s)[A-Za-z0-9-]+)*(?:\.|\s?[\[(](?:dot|DOT)[\])]\s?|\s(?:dot|DOT|점|닷)\s)[A-Za-z]{2,}(?![A-Za-z0-9_+-]|\s?[@＠\[]|\s?\((?:at|AT)\)|\s골뱅이|\s(?:at|AT)\s[A-Za-z0-9-]+\s(?:dot|DOT)\s)")
+_DOMAIN = re.compile(r"\s?[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:(?:\.|\s?[\[(](?:dot|DOT)[\])]\s?|\s(?:dot|DOT|점|닷)\s)[A-Za-z0-9-]+)*(?:\.|\s?[\[(](?:dot|DOT)[\])]\s?|\s(?:dot|DOT|점|닷)\s)[A-Za-z]{2,}(?![A-Za-z0-9_+]|-[A-Za-z0-9]| ?[@＠]| ?[\[(](?:at|AT)[\])]|\s골뱅이|\s(?:at|AT)\s[A-Za-z0-9-]+\s(?:dot|DOT)\s)")
 
 _GAP = r"[-–—‐‑－.\s]?"
 _DASH = r"[-–—‐‑－.]"

@@ -122,7 +122,7 @@ with known as (
   from agencies),
 keyed as (
   select *, case when bare <> '' then lpad(bare, greatest(length(bare), 7)::integer, '0') end as key,
-    case when upper(flat) not in ('', '-', 'N/A', '미상', '해당없음') and not regexp_matches(flat, '(…|[.][.]+)$') and not contains(flat, chr(65533)) then flat end as norm_name
+    case when upper(flat) not in ('', '-', '--', '.', '?', 'N/A', 'NA', '#N/A', 'NAN', 'NULL', 'NONE', '미상', '미정', '불명', '없음', '해당없음', '알수없음') and not regexp_matches(flat, '(…|[.][.]+)$') and not contains(flat, chr(65533)) then flat end as norm_name
   from known),
 named as (select norm_name, min(key) as owner from keyed where key is not null and norm_name is not null group by 1 having min(key) = max(key)),
 members as (select coalesce(k.key, n.owner) as agency, k.* from keyed k left join named n on k.key is null and k.norm_name = n.norm_name),
