@@ -9,7 +9,7 @@ consistent name.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,15 +17,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from jangbu.functions.text import blank_to_null, day
+from jangbu.functions.text import WHITE_SPACE, blank_to_null, day
 from jangbu.session import cut
 
+#: Changed fields (a row of four short texts each) up to which they are sent to every task.
+BROADCAST_ROWS = 100_000
 TYPES = ("text", "integer", "decimal", "boolean", "object")
 
 
-def json_type(value: Column) -> Column:
-    """The JSON type of a variant: one of ``TYPES``; null for a JSON null. An array counts as object; 5.0 is a decimal."""
-    kind = F.schema_of_variant(value)
+def json_type(kind: Column) -> Column:
+    """One of ``TYPES`` for what ``schema_of_variant`` says; null for a JSON null. An array counts as object; 5.0 is a decimal."""
     return (
         F.when(kind.isin("STRING", "DATE", "TIMESTAMP", "TIMESTAMP_NTZ"), "text")
         .when(kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), "integer")
@@ -35,25 +36,27 @@ def json_type(value: Column) -> Column:
     )
 
 
-def content(text: Column) -> Column:
-    """One notation for what a value says, so that ``1,200원``, ``1200.0`` and ``{"value": 1200}`` agree.
+def with_content(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Adds ``{new column: text column}``: one notation for what a value says, so that ``1,200원``, ``1200.0`` and
+    ``{"value": 1200}`` agree.
 
     Numbers lose separators, units and a zero fraction; days lose separators; yes and no become 1 and 0; other text loses
-    white space and case. A value with no content gives null.
+    white space and case. A value with no content gives null. The steps are projections of their own, as each uses the one
+    before several times and none should be computed twice.
     """
-    inner = F.coalesce(F.get_json_object(text, "$.value"), text)
-    flat = F.lower(F.regexp_replace(inner, r"(?U)\s+", ""))
-    number = F.regexp_replace(flat, r"^([₩￦$]|krw)|(원|krw|₩)$|,", "")
-    number = F.regexp_replace(number, r"\.0+$", "")
     date = r"^(\d{4})[-./년](\d{1,2})[-./월](\d{1,2})일?$"
-    shown = (
-        F.when(flat.isin("y", "yes", "true", "예", "여"), "1")
-        .when(flat.isin("n", "no", "false", "아니오", "부"), "0")
-        .when(flat.rlike(date), F.concat(F.regexp_extract(flat, date, 1), F.lpad(F.regexp_extract(flat, date, 2), 2, "0"), F.lpad(F.regexp_extract(flat, date, 3), 2, "0")))
-        .when(number.rlike(r"^-?\d+(\.\d+)?$"), number)
-        .otherwise(flat)
-    )
-    return F.nullif(shown, F.lit(""))
+    # the value inside an object, then letters in one case and without white space, then without units and separators
+    inner = {n: F.coalesce(F.when(F.col(c).startswith("{"), F.get_json_object(c, "$.value")), F.col(c)) for n, c in columns.items()}
+    out = df.withColumns(inner).withColumns({n: F.lower(F.translate(n, WHITE_SPACE, "")) for n in columns})
+    out = out.withColumns({f"_{n}": F.regexp_replace(n, r"^(?:[₩￦$]|krw)|(?:원|krw|₩)$|,|(?<=\d)\.0+$", "") for n in columns})
+
+    def shown(n: str) -> Column:
+        flat, bare = F.col(n), F.col(f"_{n}")
+        padded = F.concat(F.regexp_extract(flat, date, 1), F.lpad(F.regexp_extract(flat, date, 2), 2, "0"), F.lpad(F.regexp_extract(flat, date, 3), 2, "0"))
+        value = F.when(bare.rlike(r"^-?\d+(\.\d+)?$"), bare).when(flat.isin("y", "yes", "true", "예", "여"), "1").when(flat.isin("n", "no", "false", "아니오", "부"), "0").when(flat.rlike(date), padded).otherwise(flat)
+        return F.nullif(value, F.lit(""))
+
+    return out.withColumns({n: shown(n) for n in columns}).drop(*[f"_{n}" for n in columns])
 
 
 def cells(lines: DataFrame, stream: str, file: str, order: str, payload: str, key_field: str, line: str) -> DataFrame:
@@ -70,17 +73,10 @@ def cells(lines: DataFrame, stream: str, file: str, order: str, payload: str, ke
         F.col(line).alias("line"),
         F.try_parse_json(F.col(payload)).alias("doc"),
     )
-    exploded = parsed.lateralJoin(parsed.sparkSession.tvf.variant_explode(F.col("doc").outer())).where("key is not null")
-    return exploded.select(
-        "stream",
-        "file",
-        "ord",
-        "line",
-        blank_to_null(F.try_variant_get("doc", f"$['{key_field}']", "string")).alias("rec"),
-        F.col("key").alias("field"),
-        json_type(F.col("value")).alias("type"),
-        F.try_variant_get("value", "$", "string").alias("text"),
-    ).where("type is not null")
+    keyed = parsed.withColumn("rec", blank_to_null(F.try_variant_get("doc", f"$['{key_field}']", "string")))
+    exploded = keyed.lateralJoin(parsed.sparkSession.tvf.variant_explode(F.col("doc").outer())).where("key is not null")
+    kinds = exploded.select("stream", "file", "ord", "line", "rec", F.col("key").alias("field"), F.schema_of_variant("value").alias("kind"), F.col("value").cast("string").alias("text"))
+    return kinds.select("stream", "file", "ord", "line", "rec", "field", json_type(F.col("kind")).alias("type"), "text").where("type is not null")
 
 
 def field_profile(found: DataFrame) -> DataFrame:
@@ -112,21 +108,30 @@ def presence(profile: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def sketches(found: DataFrame, of: DataFrame) -> DataFrame:
-    """Fingerprints of the records' contents under the fields in ``of`` (stream, file, field): one row per record, field, content."""
-    chosen = found.where("rec is not null").join(of, ["stream", "file", "field"])
-    return chosen.select(*of.columns, "rec", F.xxhash64(content(F.col("text"))).alias("print"), content(F.col("text")).isNotNull().alias("says")).where("says").drop("says").distinct()
+    """Fingerprints of the records' contents under the fields in ``of`` (stream, file, field and more): one row per row of
+    ``of``, record and content.
+
+    Where most contents of a file's field are numbers, or most are not, the others are strays and left out. Only cells of
+    field names that changed somewhere go into the join; the names are as few as the schemas' vocabulary.
+    """
+    names = [r.field for r in of.select("field").distinct().collect()]
+    few = of.count() <= BROADCAST_ROWS  # then no cell of another field is moved or read closely; else the join shuffles
+    chosen = found.where(F.col("field").isin(names) & F.col("rec").isNotNull()).join(F.broadcast(of) if few else of, ["stream", "file", "field"])
+    said = with_content(chosen, {"says": "text"}).where("says is not null").select(*of.columns, "rec", F.xxhash64("says").alias("print"), F.col("says").rlike(r"^-?\d+(\.\d+)?$").alias("counts"))
+    usual = said.groupBy(*of.columns).agg((F.avg(F.col("counts").cast("int")) >= 0.5).alias("numeric"))
+    return said.join(usual, of.columns).where("counts = numeric").select(*of.columns, "rec", "print").distinct()
 
 
 def rename_scores(found: DataFrame, changes: DataFrame) -> DataFrame:
     """For each field that ends and each that begins between two files: records in both, how many agree, name similarity."""
     ended = changes.where("type is null").select("stream", "file", "before", "field")
     begun = changes.where("old_type is null").select("stream", "file", "before", "field")
-    both = ended.select("stream", "file", "before").distinct().join(begun.select("stream", "file", "before").distinct(), ["stream", "file", "before"])
     pair = ["stream", "file", "before"]
-    old = sketches(found, ended.join(both, pair, "left_semi").select("stream", F.col("before").alias("file"), "field", F.col("file").alias("after")))
-    new = sketches(found, begun.join(both, pair, "left_semi").select("stream", "file", "field", F.col("before").alias("was")))
-    o = old.select("stream", F.col("after").alias("file"), F.col("field").alias("old_field"), "rec", F.col("print").alias("old_print"))
-    n = new.select("stream", "file", F.col("field").alias("new_field"), "rec", F.col("print").alias("new_print"))
+    old_of = ended.join(begun.select(*pair).distinct(), pair, "left_semi").select("stream", F.col("before").alias("file"), "field", F.col("file").alias("after"), F.lit(True).alias("old"))
+    new_of = begun.join(ended.select(*pair).distinct(), pair, "left_semi").select("stream", "file", "field", F.col("file").alias("after"), F.lit(False).alias("old"))
+    prints = cut(sketches(found, cut(old_of.unionByName(new_of))))
+    o = prints.where("old").select("stream", F.col("after").alias("file"), F.col("field").alias("old_field"), "rec", F.col("print").alias("old_print"))
+    n = prints.where("not old").select("stream", F.col("after").alias("file"), F.col("field").alias("new_field"), "rec", F.col("print").alias("new_print"))
     per_record = (
         o.join(n, ["stream", "file", "rec"])
         .groupBy("stream", "file", "old_field", "new_field", "rec")
@@ -261,19 +266,20 @@ def unify(lines: DataFrame, payload: str, names: dict[str, list[str]], columns:
     """
     fields = F.from_json(F.col(payload), T.MapType(T.StringType(), T.StringType()))
     base = lines.select(*keep, fields.alias("_m"))
-    taken, out = [], []
-    for name, (usual, kind) in columns.items():
-        known = names.get(usual, [usual])
-        taken += known
-        text = F.coalesce(*[F.col("_m")[n] for n in known])
+    known = {name: names.get(usual, [usual]) for name, (usual, _) in columns.items()}
+    texts = base.select("*", *[F.coalesce(*[F.col("_m")[n] for n in of]).alias(name) for name, of in known.items()])
+    said = with_content(texts, {f"_said_{name}": name for name, (_, kind) in columns.items() if kind in {"number", "flag"}})
+
+    def typed(name: str, kind: str) -> Column:
+        text, says = F.col(name), F.col(f"_said_{name}")
         if kind == "text":
-            value = blank_to_null(text)
-        elif kind == "number":
-            value = F.when(content(text).rlike(r"^-?\d+(\.\d+)?$"), content(text).try_cast("double"))
-        elif kind == "day":
-            value = day(text)
-        else:
-            value = F.when(content(text) == "1", True).when(content(text) == "0", False)
-        out.append(value.alias(name))
+            return blank_to_null(text)
+        if kind == "day":
+            return day(text)
+        if kind == "number":
+            return F.when(says.rlike(r"^-?\d+(\.\d+)?$"), says.try_cast("double"))
+        return F.when(says == "1", True).when(says == "0", False)
+
+    taken = [n for of in known.values() for n in of]
     rest = F.map_filter("_m", lambda k, v: ~k.isin(taken) & v.isNotNull())
-    return base.select(*keep, *out, rest.alias("other_fields"))
+    return said.select(*keep, *[typed(name, kind).alias(name) for name, (_, kind) in columns.items()], rest.alias("other_fields"))
