@@ -116,8 +116,9 @@ def sketches(found: DataFrame, of: DataFrame) -> DataFrame:
     """
     names = [r.field for r in of.select("field").distinct().collect()]
     few = of.count() <= BROADCAST_ROWS  # then no cell of another field is moved or read closely; else the join shuffles
-    chosen = found.where(F.col("field").isin(names) & F.col("rec").isNotNull()).join(F.broadcast(of) if few else of, ["stream", "file", "field"])
-    said = with_content(chosen, {"says": "text"}).where("says is not null").select(*of.columns, "rec", F.xxhash64("says").alias("print"), F.col("says").rlike(r"^-?\d+(\.\d+)?$").alias("counts"))
+    chosen = found.where(F.col("field").isin(names) & F.col("rec").isNotNull()).join(F.broadcast(of) if few else of, ["stream", "file", "field"]).select(*of.columns, "rec", "text")
+    # written out, so that the filter on contents isn't pushed below the join and worked out for every cell of every file
+    said = with_content(cut(chosen), {"says": "text"}).where("says is not null").select(*of.columns, "rec", F.xxhash64("says").alias("print"), F.col("says").rlike(r"^-?\d+(\.\d+)?$").alias("counts"))
     usual = said.groupBy(*of.columns).agg((F.avg(F.col("counts").cast("int")) >= 0.5).alias("numeric"))
     return said.join(usual, of.columns).where("counts = numeric").select(*of.columns, "rec", "print").distinct()
 
