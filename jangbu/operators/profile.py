@@ -117,7 +117,7 @@ def induce(counts: DataFrame) -> DataFrame:
     known = reduce(lambda a, b: a + b, [n * BITS[c] for c, n in of_class.items()])
     others = length(F.col("exact")) - reduce(lambda a, b: a + b, of_class.values())
     runs = length(F.regexp_replace(plus, "[^9Aa가]", ""))
-    costed = exact.withColumns({"plus": plus, "known": known * F.col("d"), "runs": runs, "elements": runs + others, **{f"in_{i}": n * F.col("d") for i, n in enumerate(of_class.values())}, "in_other": others * F.col("d")})
+    costed = exact.withColumns({"plus": plus, "known": known * F.col("d"), "runs": runs, "elements": runs + others * ((ELEMENT_BITS + OTHER_BITS) / ELEMENT_BITS), **{f"in_{i}": n * F.col("d") for i, n in enumerate(of_class.values())}, "in_other": others * F.col("d")})
     classes = [*[f"in_{i}" for i in range(len(of_class))], "in_other"]
     per_plus = costed.groupBy("column_name", "plus").agg(
         F.sum("d").alias("dp"), F.sum("known").alias("known"), *[F.sum(c).alias(c) for c in classes], F.max("runs").alias("runs"), F.max("elements").alias("elements"),

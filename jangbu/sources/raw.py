@@ -28,8 +28,8 @@ def split_meta(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(one row a file with the merged meta map, records ``file, pos, record``). Later meta lines win over earlier."""
     is_meta = F.get_json_object("value", f"$.{META}")
     tagged = lines.withColumn("meta", is_meta)
-    ordered = F.array_sort(F.collect_list(F.struct("pos", F.from_json("meta", RECORD).alias("m"))))
-    merged = F.aggregate(ordered, F.create_map().cast(RECORD), lambda acc, x: F.map_concat(F.map_filter(acc, lambda k, _: ~F.map_contains_key(x["m"], k)), x["m"]))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", "meta"))), lambda x: F.from_json(x["meta"], RECORD))
+    merged = F.aggregate(ordered, F.create_map().cast(RECORD), lambda acc, m: F.map_concat(F.map_filter(acc, lambda k, _: ~F.map_contains_key(m, k)), m))
     metas = tagged.where("meta is not null").groupBy("file").agg(merged.alias("meta"))
     records = tagged.where("meta is null").select("file", "pos", F.from_json("value", RECORD).alias("record"))
     return metas, records

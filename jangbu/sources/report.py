@@ -34,6 +34,8 @@ def read_report(spark: SparkSession, path: str | Path) -> DataFrame:
     if suffix == ".csv":
         encoding = detect_encoding(path)
         names = {"utf-8-sig": "UTF-8", "cp949": "x-windows-949", "euc-kr": "EUC-KR"}
+        if encoding in {"cp949", "euc-kr"}:  # Spark takes these only where all of Java's charsets are allowed
+            spark.conf.set("spark.sql.legacy.javaCharsets", "true")
         df = spark.read.option("header", True).option("encoding", names.get(encoding, encoding)).option("inferSchema", False).option("multiLine", True).option("escape", '"').csv(str(path))
     elif suffix in {".xlsx", ".xls"}:
         import pandas as pd  # a workbook is one file of bounded size; there is no distributed reader for it
