@@ -312,6 +312,6 @@ def without_leaks(docs: DataFrame, items: DataFrame, share: float = 0.5, most: f
                     out.append(texts[k][last : places[a]])
                     last = places[b] if b < total else len(texts[k])
                 texts[k] = "".join([*out, texts[k][last:]])
-            yield pd.DataFrame({"doc_id": pdf[doc_id], "text": texts, "items": np.array(counts, np.int64), "removed": gone})
+            yield pd.DataFrame({"doc_id": pdf[doc_id], "text": pd.Series(texts, dtype=object, index=pdf.index), "items": np.array(counts, np.int64), "removed": gone})
 
     return docs.select(doc_id, text).mapInPandas(cut_spans, "doc_id long, text string, items long, removed double")

@@ -52,7 +52,7 @@ def measured(docs: DataFrame, source: str, vocabulary: str = VOCABULARY, doc_id:
             texts = [t if isinstance(t, str) else "" for t in pdf[text]]
             yield pd.DataFrame({
                 "doc_id": pdf[doc_id],
-                "source": pdf[source],
+                "source": pdf[source].astype(object),
                 "cluster": [fingerprint(t) if t else 0 for t in texts],
                 "tokens": [len(encode(t)) if t else 0 for t in texts],
             })

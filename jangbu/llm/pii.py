@@ -20,6 +20,7 @@ FAMILY_LATIN = "Kim Lee Yi Rhee Park Pak Choi Choe Jung Jeong Chung Kang Cho Jo
 TITLES = "사무관 주무관 서기관 감독관 조사관 소장 팀장 과장 부장 차장 실장 국장 계장 반장 본부장 대리 주임 사원 대표 대표이사 이사 위원 위원장 교수 박사 기사 선생 선생님 여사 씨 님 귀하 귀중"
 LABELS = "담당자 작성자 신청인 성명 이름 민원인 현장대리인 대표자 수령인 수신인 발신인 연락인 책임자 보호자 예금주 고객명"
 NOT_NAMES = "Call Reply Contact Applicant Mr Ms Mrs Dr By To From The And Or Of In On At For With Questions Minutes Section Lot Round File Item Product Unit Tender Notice Mail Phone Mobile Attn Dear Hello Only Because Bids"
+TOP_LEVELS = "com org net edu gov mil int info biz name kr co jp cn us uk eu de fr ru io ai app dev test example invalid localhost local"
 FIRMS = "Systems Supply Engineering Works Co Ltd Inc Corp Corporation Group Foods Construction River Bridge Street Station Office"
 
 _LATIN = FAMILY_LATIN.split()
@@ -63,7 +64,7 @@ _CAPITAL = re.compile(r"(?<![A-Za-z@._+-])[A-Z][A-Za-z]+(?![A-Za-z@_+])")
 _GIVEN_AFTER = re.compile(r"(?P<gap>,? )(?P<given>[A-Z][a-z]+(?:-[a-z]+)?)(?![A-Za-z@_+-])(?!\.[A-Za-z])")
 _GIVEN_BEFORE = re.compile(r"(?<![A-Za-z@._+-])(?P<given>[A-Z][a-z]+(?:-[a-z]+)?) \Z")
 _DEPARTMENT = re.compile(r"[과팀실국청]\Z")
-_STOP, _FIRM = frozenset(NOT_NAMES.split()), frozenset(FIRMS.split())
+_STOP, _FIRM, _TOP = frozenset(NOT_NAMES.split()), frozenset(FIRMS.split()), frozenset(TOP_LEVELS.split())
 _DIGITS = re.compile(r"\d")
 
 
@@ -98,7 +99,7 @@ def _mails(text: str) -> Iterator[Span]:
         if not local or not domain:
             continue
         spoken = at.group().strip().lower() == "at"
-        if spoken and not re.search(r"\s(?:dot|DOT)\s|[\[(](?:dot|DOT)", domain.group()) and not re.search(r"[._+\d]", local.group().strip()):
+        if spoken and (re.search(r"[A-Za-z]+\Z", domain.group()).group().lower() not in _TOP or not (re.search(r"\s(?:dot|DOT)\s|[\[(](?:dot|DOT)", domain.group()) or re.search(r"[._+\d]", local.group().strip()))):
             continue
         if local.group("gap") and at.group()[0].isspace():
             continue
@@ -212,6 +213,6 @@ def pii_found(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
                 if isinstance(t, str):
                     for s in find_pii(t):
                         out[(k, d, s.kind, t[s.start : s.end])] = None
-            yield pd.DataFrame({"doc_id": pd.Series([d for _, d, _, _ in out], dtype="int64"), "pii_type": [k for _, _, k, _ in out], "pii_text": [v for *_, v in out]})
+            yield pd.DataFrame({"doc_id": pd.Series([d for _, d, _, _ in out], dtype="int64"), "pii_type": pd.Series([k for _, _, k, _ in out], dtype=object), "pii_text": pd.Series([v for *_, v in out], dtype=object)})
 
     return docs.select(doc_id, text).mapInPandas(find, "doc_id long, pii_type string, pii_text string")

@@ -111,13 +111,15 @@ def _id_radix(canon: str) -> tuple[list[int], list[int], Callable[[Sequence[int]
     if len(canon) != 13:
         return value, radices, None
 
-    def valid(v: Sequence[int]) -> bool:
-        if not (1 <= v[2] * 10 + v[3] <= 12 and 1 <= v[4] * 10 + v[5] <= 28):
+    def usual(v: Sequence[int]) -> bool:
+        month, dom = v[2] * 10 + v[3], v[4] * 10 + v[5]
+        if not (1 <= month <= 12 and 1 <= dom <= (29, 30, 31)[(month in (4, 6, 9, 11)) + 2 * (month in (1, 3, 5, 7, 8, 10, 12))]):
             return False
         check = (11 - sum(a * b for a, b in zip(v, (2, 3, 4, 5, 6, 7, 8, 9, 2, 3, 4, 5), strict=False)) % 11) % 10
-        return v[6] == value[6] and check != v[12]  # the century, nationality and sex digit stays; never a real number
+        return check != v[12]  # never a number that somebody can have
 
-    return value, radices, valid
+    same = usual(value)  # numbers of the usual form stay among themselves, and the others too, so neither meets the other
+    return value, radices, lambda v: v[6] == value[6] and usual(v) == same  # the century, nationality and sex digit stays
 
 
 def _cased(like: str, letters: str) -> str:
@@ -203,8 +205,6 @@ def surrogate(kind: str, text: str, key: bytes) -> str:
         return _fill(text, digits[: -len(own)] + new)
     if kind == "id_number":
         value, radices, valid = _id_radix(canonical(kind, text))
-        if valid and not valid(value):  # not a number of the usual form: any permutation will do
-            valid = None
         new = permute(value, radices, key, f"id {radices} {value[6] if len(value) == 13 else ''}", valid)
         it = iter(zip(new, radices, strict=True))
         out = []
@@ -255,7 +255,7 @@ def redacted(docs: DataFrame, key: bytes, doc_id: str = "doc_id", text: str = "t
                 a.append(x)
                 b.append(y)
                 n.append(len(spans))
-            yield pd.DataFrame({"doc_id": pdf[doc_id], "placeholder_text": a, "surrogate_text": b, "replacements": n})
+            yield pd.DataFrame({"doc_id": pdf[doc_id], "placeholder_text": pd.Series(a, dtype=object, index=pdf.index), "surrogate_text": pd.Series(b, dtype=object, index=pdf.index), "replacements": n})
 
     return docs.select(doc_id, text).mapInPandas(rewrite, "doc_id long, placeholder_text string, surrogate_text string, replacements long")
 
