@@ -6,11 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from jangbu.operators.selection import exact_quantiles
+
 
 def shares(df: DataFrame, label: Column, name: str = "label") -> DataFrame:
-    """Counts per label and their percentage of all rows."""
+    """Counts per label and their percentage of all rows. The total is one row, sent to where the counts are."""
     n = df.groupBy(label.alias(name)).agg(F.count(F.lit(1)).alias("n"))
-    return n.withColumn("share_pct", F.round(100 * F.col("n") / F.sum("n").over(W.partitionBy()), 4))
+    total = df.agg(F.count(F.lit(1)).alias("_total"))
+    return n.join(F.broadcast(total)).withColumn("share_pct", F.round(100 * F.col("n") / F.col("_total"), 4)).drop("_total")
 
 
 def monthly(df: DataFrame, day: Column) -> DataFrame:
@@ -18,8 +21,14 @@ def monthly(df: DataFrame, day: Column) -> DataFrame:
 
 
 def rates_by(df: DataFrame, label: Column, rate: str, top: int | None = None) -> DataFrame:
-    """n, exact median and mean of the rates from 0 to 100 per label, most frequent first (ties by label)."""
-    out = df.where(F.col(rate).between(0, 100)).groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("n"), F.median(rate).alias("median_rate"), F.round(F.avg(rate), 6).alias("mean_rate"))
+    """n, exact median and mean of the rates from 0 to 100 per label, most frequent first (ties by label).
+
+    There may be few labels with very many rates each, so the medians are selected by refined histograms.
+    """
+    valid = df.where(F.col(rate).between(0, 100)).select(label.alias("label"), F.col(rate).alias("rate"))
+    means = valid.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("rate"), 6).alias("mean_rate"))
+    medians = exact_quantiles(valid, ["label"], "rate", [0.5], continuous=True).select(F.col("label").alias("_label"), F.col("value").alias("median_rate"))
+    out = means.join(medians, F.col("label").eqNullSafe(F.col("_label"))).select("label", "n", "median_rate", "mean_rate")
     return out.orderBy(F.desc("n"), "label").limit(top) if top else out
 
 

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window as W
 
 from jangbu.functions.cleaning import ratio
 from jangbu.functions.text import blank_to_null, trimmed
+from jangbu.session import cut
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column], within: Sequence[str] = ()) -> DataFrame:
@@ -25,9 +26,23 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column], withi
 
 
 def consecutive_repeats(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
-    """Per group, how many rows say the same as the row right before them: ``*group, repeats``."""
-    before = F.lag(value).over(W.partitionBy(*group).orderBy(*order))
-    return df.select(*group, F.col(value).eqNullSafe(before).alias("same"), before.isNotNull().alias("has")).groupBy(*group).agg(F.count_if(F.col("same") & F.col("has")).alias("repeats"))
+    """Per group, how many rows say the same as the row right before them: ``*group, repeats``.
+
+    Rows are range-sorted over all tasks, so a group of any size is several tasks; each task's first row is compared with
+    the last row of the task before it, which are two rows a task.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.struct(*[F.col(c) for c in [*group, *order]])
+    ranged = cut(df.select(place.alias("place"), F.struct(*[F.col(c) for c in group]).alias("g"), F.col(value).alias("v")).repartitionByRange(tasks, "place").withColumn("task", F.spark_partition_id()))
+    inner = W.partitionBy("task").orderBy("place")
+    before = F.lag(F.struct("g", "v")).over(inner)
+    near = ranged.select("g", "v", before.alias("b"))
+    ends = ranged.groupBy("task").agg(F.min_by(F.struct("g", "v"), "place").alias("first"), F.max_by(F.struct("g", "v"), "place").alias("last"))
+    seams = ends.select(F.col("first.g").alias("g"), F.col("first.v").alias("v"), F.lag("last").over(W.orderBy("task")).alias("b"))
+    same = (F.col("b") == F.struct("g", "v")).cast("long")
+    inside = near.groupBy("g").agg(F.coalesce(F.sum(F.when(F.col("b").isNotNull(), same)), F.lit(0)).alias("n"))
+    across = seams.where("b is not null").groupBy("g").agg(F.sum(same).alias("n"))
+    return inside.unionByName(across).groupBy("g").agg(F.sum("n").alias("repeats")).select(*[F.col("g")[c].alias(c) for c in group], "repeats")
 
 
 def flag_existing(df: DataFrame, on: Sequence[str], others: DataFrame, other_on: Sequence[str], name: str) -> DataFrame:

@@ -40,27 +40,33 @@ def heavy_keys(df: DataFrame, columns: dict[str, Column], share: float, bins: in
     return inside.groupBy("column_name", "key_value", "total").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= F.col("total") * share).select("column_name", "key_value", "n", "total")
 
 
-def _targets(counted: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """Target ranks, 1-based: the smallest rank that covers the share ``prob`` of ``n`` values."""
+def _targets(counted: DataFrame, probs: Sequence[float], continuous: bool) -> DataFrame:
+    """Target ranks, 1-based: the smallest rank that covers the share ``prob`` of ``n`` values; or, if ``continuous``, the two
+    ranks (``side`` 0 and 1) that the position ``prob * (n - 1)`` lies between."""
     each = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
-    return counted.select("*", each).withColumn("rank", F.greatest(F.lit(1), F.ceil(F.round(F.col("prob") * F.col("n"), 9))).cast("long"))
+    out = counted.select("*", each)
+    if not continuous:
+        return out.withColumns({"side": F.lit(0), "rank": F.greatest(F.lit(1), F.ceil(F.round(F.col("prob") * F.col("n"), 9))).cast("long")})
+    place = F.round(F.col("prob") * (F.col("n") - 1), 9)
+    return out.select("*", F.posexplode(F.array(F.floor(place) + 1, F.ceil(place) + 1)).alias("side", "rank"))
 
 
-def _light(rows: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+def _light(rows: DataFrame, keys: list[str], probs: Sequence[float], continuous: bool) -> DataFrame:
     """Quantiles of keys with few rows: sorted within their task, after equal values are merged."""
     merged = rows.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c"))
     up = W.partitionBy(*keys).orderBy("v").rowsBetween(W.unboundedPreceding, 0)
     run = merged.withColumn("upto", F.sum("c").over(up)).withColumn("n", F.sum("c").over(W.partitionBy(*keys)))
-    hit = _targets(run, probs).where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("c") < F.col("rank")))
-    return hit.select(*keys, "prob", "n", F.col("v").alias("value"))
+    hit = _targets(run, probs, continuous).where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("c") < F.col("rank")))
+    return hit.select(*keys, "prob", "side", "n", F.col("v").alias("value"))
 
 
-def _refine(rows: DataFrame, counted: DataFrame, keys: list[str], probs: Sequence[float], bins: int) -> DataFrame:
+def _refine(rows: DataFrame, counted: DataFrame, keys: list[str], probs: Sequence[float], bins: int, continuous: bool) -> DataFrame:
     """Quantiles of heavy keys. ``counted`` has each key's n, lo and hi, a row a key."""
-    open_ = cut(_targets(counted, probs).select(*keys, "prob", "n", F.col("rank").alias("left"), "lo", "hi"))
+    which = [*keys, "prob", "side", "n"]
+    open_ = cut(_targets(counted, probs, continuous).select(*which, F.col("rank").alias("left"), "lo", "hi"))
     done: list[DataFrame] = []
     while True:
-        done.append(open_.where("lo = hi").select(*keys, "prob", "n", F.col("lo").alias("value")))
+        done.append(open_.where("lo = hi").select(*which, F.col("lo").alias("value")))
         open_ = open_.where("lo < hi")
         if open_.isEmpty():
             return reduce(DataFrame.unionByName, done)
@@ -71,11 +77,12 @@ def _refine(rows: DataFrame, counted: DataFrame, keys: list[str], probs: Sequenc
         up = W.partitionBy(*keys, "lo", "hi").orderBy("bin").rowsBetween(W.unboundedPreceding, 0)
         upto = hist.withColumn("upto", F.sum("c").over(up))
         hit = open_.join(upto, [*keys, "lo", "hi"]).where((F.col("upto") >= F.col("left")) & (F.col("upto") - F.col("c") < F.col("left")))
-        open_ = cut(hit.select(*keys, "prob", "n", (F.col("left") - (F.col("upto") - F.col("c"))).alias("left"), F.col("least").alias("lo"), F.col("most").alias("hi")))
+        open_ = cut(hit.select(*which, (F.col("left") - (F.col("upto") - F.col("c"))).alias("left"), F.col("least").alias("lo"), F.col("most").alias("hi")))
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], heavy_rows: int = HEAVY_ROWS, bins: int = BINS) -> DataFrame:
-    """Exact quantiles per key: ``*keys, prob, n, value``; the value of rank ``ceil(prob * n)`` among the key's ``n`` values.
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], heavy_rows: int = HEAVY_ROWS, bins: int = BINS, continuous: bool = False) -> DataFrame:
+    """Exact quantiles per key: ``*keys, prob, n, value``; the value of rank ``ceil(prob * n)`` among the key's ``n`` values,
+    or, if ``continuous``, the interpolated one (so that 0.5 is the median). No key may be named prob, n or value.
 
     Null, NaN and infinite values are left out; a key without values gives no row; a null key is a key of its own. Ties
     and repeated rows count as often as they occur. Keys of up to ``heavy_rows`` rows are sorted in their task; heavier
@@ -88,8 +95,12 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     counted = cut(rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")))
     heavy = counted.where(F.col("n") > heavy_rows)
     if heavy.isEmpty():
-        out = _light(rows, ["k"], probs)
+        out = _light(rows, ["k"], probs, continuous)
     else:
-        out = _light(rows.join(heavy.select("k"), "k", "left_anti"), ["k"], probs)
-        out = out.unionByName(_refine(rows.join(heavy.select("k"), "k", "left_semi"), heavy, ["k"], probs, bins))
+        out = _light(rows.join(heavy.select("k"), "k", "left_anti"), ["k"], probs, continuous)
+        out = out.unionByName(_refine(rows.join(heavy.select("k"), "k", "left_semi"), heavy, ["k"], probs, bins, continuous))
+    if continuous:
+        place = F.round(F.col("prob") * (F.col("n") - 1), 9)
+        sides = out.groupBy("k", "prob", "n").agg(F.min("value").alias("a"), F.max("value").alias("b"))
+        out = sides.withColumn("value", F.col("a") + (F.col("b") - F.col("a")) * (place - F.floor(place)))
     return out.select(*[F.col("k")[c].alias(c) for c in keys], "prob", "n", "value")

@@ -13,13 +13,13 @@ from jangbu.sources.raw import split_meta
 def stream_windows(spark: SparkSession, folder: str, feed: str, out: str, checkpoint: str) -> StreamingQuery:
     """Normalises every window file that isn't processed yet, then stops. Which files are done is in the checkpoint, so a
     second run does only what is new, and a run that broke off starts again at the file it broke at. A file is always in
-    one batch whole, which keeps deduplication within it."""
+    one batch whole, which keeps deduplication within it, and a batch that is done again replaces what it wrote."""
     lines = spark.readStream.format("text").option("maxFilesPerTrigger", 64).load(folder)
     tagged = lines.select(F.col("_metadata.file_name").alias("file"), "value").where(F.trim("value") != "")
 
-    def batch(df: DataFrame, _: int) -> None:
+    def batch(df: DataFrame, number: int) -> None:
         metas, records = split_meta(df.withColumn("pos", F.monotonically_increasing_id()))
-        normalized(records, metas, feed).write.mode("append").partitionBy("year", "month").parquet(out)
+        normalized(records, metas, feed).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year", "month").parquet(f"{out}/batch={number}")
 
     return tagged.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -122,6 +122,9 @@ def test_exact_quantiles(spark):
             v = np.sort([x for kk, x, _ in data if kk == k and x is not None and x == x])
             for p in probs:
                 assert got[k, p] == (len(v), v[max(1, int(np.ceil(round(p * len(v), 9)))) - 1])
+        for r in exact_quantiles(df, ["k"], "v", [0.1, 0.5], heavy_rows=heavy, bins=16, continuous=True).collect():
+            v = np.array([x for kk, x, _ in data if kk == r.k and x is not None and x == x])
+            assert abs(r.value - np.quantile(v, r.prob)) <= 1e-9 * abs(r.value)
     assert exact_quantiles(df.limit(0), ["k"], "v", [0.5]).count() == 0
     assert exact_quantiles(df.where("v is null"), ["k"], "v", [0.5]).count() == 0
 

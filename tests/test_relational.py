@@ -17,7 +17,10 @@ def test_keep_last(spark):
 
 def test_consecutive_repeats(spark):
     df = spark.createDataFrame([("f", 1, "a"), ("f", 2, "a"), ("f", 3, "b"), ("f", 4, None), ("f", 5, None), ("g", 1, "a")], "file string, pos int, v string")
-    assert rows(R.consecutive_repeats(df, ["file"], ["pos"], "v")) == [("f", 1), ("g", 0)]
+    assert rows(R.consecutive_repeats(df, ["file"], ["pos"], "v")) == [("f", 2), ("g", 0)]
+    long = spark.range(1000).selectExpr("case when id < 900 then 'hot' else 'cold' end as file", "id as pos", "cast(id / 10 as int) as v")
+    assert rows(R.consecutive_repeats(long, ["file"], ["pos"], "v")) == [("cold", 90), ("hot", 810)]
+    assert R.consecutive_repeats(long.limit(0), ["file"], ["pos"], "v").count() == 0
 
 
 def test_existence_flag_keeps_rows(spark):
