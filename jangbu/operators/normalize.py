@@ -29,21 +29,23 @@ def aliased(records: DataFrame, feed: str, by_value: bool = False) -> DataFrame:
     """One text column per own name of the feed. In each file the first source field that the file holds at all gives it,
     also where its value is null; with ``by_value`` the first that has a value in the row.
 
-    Which fields a file holds is a few names a file, found by one aggregate.
+    Which fields a file holds is one truth value a field and file, found by one aggregate.
     """
     sources: dict[str, list[str]] = {}
     for source, own in ALIASES[feed]:
         sources.setdefault(own, []).append(source)
-    fields = records.groupBy("file").agg(F.array_distinct(F.flatten(F.collect_set(F.map_keys("record")))).alias("_fields"))
-    rows = records.join(fields, "file")
+    names = sorted({n for ns in sources.values() for n in ns})
+    held = {n: F.bool_or(F.coalesce(F.map_contains_key("record", F.lit(n)), F.lit(False))).alias(f"_has_{i}") for i, n in enumerate(names)}
+    place = {n: F.col(f"_has_{i}") for i, n in enumerate(names)}
+    rows = records.join(records.groupBy("file").agg(*held.values()), "file")
     columns = []
-    for own, names in sources.items():
+    for own, of in sources.items():
         if by_value:
-            value = F.coalesce(*[F.col("record")[n] for n in names])
+            value = F.coalesce(*[F.col("record")[n] for n in of])
         else:
             value = F.when(F.lit(False), F.lit(None).cast("string"))
-            for n in names:
-                value = value.when(F.array_contains("_fields", n), F.col("record")[n])
+            for n in of:
+                value = value.when(place[n], F.col("record")[n])
         columns.append(value.alias(own))
     return rows.select("file", "pos", "record", *columns)
 

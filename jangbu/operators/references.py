@@ -78,8 +78,10 @@ def _referring(df: DataFrame, ref: Reference) -> DataFrame:
     ).where("ref is not null")
 
 
-def orphans(tables: Mapping[str, DataFrame], references: Sequence[Reference], parents: Sequence[Parent]) -> DataFrame:
-    """Every referring row whose reference fails: ``ref_table, ref_column, ref, row_key, row_day, kind``.
+def orphans(tables: Mapping[str, DataFrame], references: Sequence[Reference], parents: Sequence[Parent], counted: bool = False) -> DataFrame:
+    """Every referring row whose reference fails: ``ref_table, ref_column, ref, row_key, row_day, kind``. With ``counted`` rows
+    of one reference and day are put together before they are joined: ``n`` stands in place of ``row_key``, and a key that
+    very many rows refer to is one row a day.
 
     ``kind`` is ``missing`` (no such key), ``deleted`` (the key's latest row deletes it) or ``late`` (the key's first
     day lies behind the row's). A null or blank reference is none and makes no row; a missing day is never late.
@@ -93,6 +95,8 @@ def orphans(tables: Mapping[str, DataFrame], references: Sequence[Reference], pa
             continue
         keys = _parent_keys(tables[parent.name], parent)
         rows = reduce(DataFrame.unionByName, [_referring(tables[r.table], r) for r in own])
+        if counted:
+            rows = rows.groupBy("ref_table", "ref_column", "ref", "row_day", "dated").agg(F.count(F.lit(1)).alias("n"))
         named = rows.select("ref").distinct()
         failing = named.join(keys, "ref", "left_anti").select("ref", F.lit("missing").alias("kind"))
         if parent.status:
@@ -101,7 +105,7 @@ def orphans(tables: Mapping[str, DataFrame], references: Sequence[Reference], pa
         if any(r.late for r in own):
             dated = rows.where("dated").join(keys.where("first_day is not null"), "ref").where("first_day > row_day")
             out.append(dated.select(*rows.columns, F.lit("late").alias("kind")))
-    return reduce(DataFrame.unionByName, out).select("ref_table", "ref_column", "ref", "row_key", "row_day", "kind")
+    return reduce(DataFrame.unionByName, out).select("ref_table", "ref_column", "ref", "n" if counted else "row_key", "row_day", "kind")
 
 
 def orphan_rows(found: DataFrame) -> DataFrame:
@@ -110,7 +114,9 @@ def orphan_rows(found: DataFrame) -> DataFrame:
 
 
 def orphan_counts(found: DataFrame) -> DataFrame:
-    """Failing rows and keys per table, column, kind and month of the referring row (month null where the day is)."""
+    """Failing rows and keys per table, column, kind and month of the referring row (month null where the day is), of what
+    ``orphans`` found, counted or not."""
     month = F.date_format("row_day", "yyyy-MM").alias("month")
-    per_key = found.groupBy("ref_table", "ref_column", "kind", month, "ref").agg(F.count(F.lit(1)).alias("n"))
+    each = F.sum("n") if "n" in found.columns else F.count(F.lit(1))
+    per_key = found.groupBy("ref_table", "ref_column", "kind", month, "ref").agg(each.alias("n"))
     return per_key.groupBy("ref_table", "ref_column", "kind", "month").agg(F.sum("n").alias("orphan_rows"), F.count(F.lit(1)).alias("orphan_keys"))

@@ -27,9 +27,9 @@ REFERENCES = (
 )
 
 
-def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orphans(spark: SparkSession, sf_dir: str, counted: bool = False) -> DataFrame:
     names = {r.table for r in REFERENCES} | {p.name for p in PARENTS}
-    return orphans({n: table(spark, sf_dir, n) for n in names}, REFERENCES, PARENTS)
+    return orphans({n: table(spark, sf_dir, n) for n in names}, REFERENCES, PARENTS, counted)
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_orphans_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orphan_counts(_orphans(spark, sf_dir))
+    return orphan_counts(_orphans(spark, sf_dir, counted=True))
 
 
 _CHARS = " || ".join(f"chr({ord(c)})" for c in WHITE_SPACE)
