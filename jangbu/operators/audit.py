@@ -34,7 +34,8 @@ def collision_classes(df: DataFrame, keys: Sequence[str], rules: Sequence[tuple[
     """
     others = [c for c in df.columns if c not in keys and not c.startswith("_")]
     distinct = df.distinct()
-    differs = F.array_compact(F.array(*[F.when(F.count_distinct(c) > 1, F.lit(c)) for c in others])) if others else F.array().cast("array<string>")
+    # more than one value: the least isn't the greatest (nulls aside), which needs no sets of values
+    differs = F.array_compact(F.array(*[F.when(F.min(c) < F.max(c), F.lit(c)) for c in others])) if others else F.array().cast("array<string>")
     groups = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), differs.alias("diff")).where("n > 1")
     kind = F.when(F.lit(False), "")
     for name, how, columns in rules:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from string import ascii_lowercase, ascii_uppercase, digits
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from jangbu.operators.selection import exact_quantiles
+from jangbu.session import cut
 
 #: Bits to state one character of a class, one that is no letter or digit, one element of an expression, one length.
 BITS = {"9": 3.32, "A": 4.70, "a": 4.70, "가": 13.45}
@@ -70,10 +72,8 @@ def aggregates(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def shape(value: Column) -> Column:
     """Each character by its class: 9 digits, A and a Latin letters, 가 Hangul; others stand for themselves."""
-    out = F.regexp_replace(value, "[0-9]", "9")
-    out = F.regexp_replace(out, "[A-Z]", "A")
-    out = F.regexp_replace(out, "[a-z]", "a")
-    return F.regexp_replace(out, "[가-힣]", "가")
+    latin = F.translate(value, digits + ascii_uppercase + ascii_lowercase, "9" * 10 + "A" * 26 + "a" * 26)
+    return F.when(latin.rlike("[가-힣]"), F.regexp_replace(latin, "[가-힣]", "가")).otherwise(latin)
 
 
 def _collapsed(exact: Column) -> Column:
@@ -111,13 +111,14 @@ def induce(counts: DataFrame) -> DataFrame:
     exact = values.groupBy("column_name", shape(F.col("value")).alias("exact")).agg(
         F.count(F.lit(1)).alias("d"), F.sum("n").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high")
     )
-    plus = _collapsed(F.col("exact"))
+    exact = cut(exact.withColumn("plus", _collapsed(F.col("exact"))))  # used three times below
+    plus = F.col("plus")
     length = lambda c: F.length(c).cast("double")
-    of_class = {c: length(F.col("exact")) - length(F.regexp_replace("exact", c, "")) for c in BITS}
+    of_class = {c: length(F.col("exact")) - length(F.replace(F.col("exact"), F.lit(c), F.lit(""))) for c in BITS}
     known = reduce(lambda a, b: a + b, [n * BITS[c] for c, n in of_class.items()])
     others = length(F.col("exact")) - reduce(lambda a, b: a + b, of_class.values())
     runs = length(F.regexp_replace(plus, "[^9Aa가]", ""))
-    costed = exact.withColumns({"plus": plus, "known": known * F.col("d"), "runs": runs, "elements": runs + others * ((ELEMENT_BITS + OTHER_BITS) / ELEMENT_BITS), **{f"in_{i}": n * F.col("d") for i, n in enumerate(of_class.values())}, "in_other": others * F.col("d")})
+    costed = exact.withColumns({"known": known * F.col("d"), "runs": runs, "elements": runs + others * ((ELEMENT_BITS + OTHER_BITS) / ELEMENT_BITS), **{f"in_{i}": n * F.col("d") for i, n in enumerate(of_class.values())}, "in_other": others * F.col("d")})
     classes = [*[f"in_{i}" for i in range(len(of_class))], "in_other"]
     per_plus = costed.groupBy("column_name", "plus").agg(
         F.sum("d").alias("dp"), F.sum("known").alias("known"), *[F.sum(c).alias(c) for c in classes], F.max("runs").alias("runs"), F.max("elements").alias("elements"),
