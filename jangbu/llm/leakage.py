@@ -76,9 +76,9 @@ def grams(c: np.ndarray, size: int) -> np.ndarray:
 
 @dataclass
 class Items:
-    """Items ready for the scan: texts as letters, word ends, and the hash set of n-grams that one item alone holds."""
+    """Items ready for the scan: texts as letters, word ends, and the hash set of the n-grams that tell them."""
 
-    ids: list[int] = field(default_factory=list)
+    ids: list = field(default_factory=list)
     texts: list[str] = field(default_factory=list)
     words: list[list[tuple[int, int]]] = field(default_factory=list)
     needed: list[int] = field(default_factory=list)
@@ -89,8 +89,9 @@ class Items:
     bits: np.ndarray = field(default_factory=lambda: np.zeros(1 << 22, bool))
 
 
-def prepare(rows: list[tuple[int, str]], share: float, size: int = GRAM) -> Items:
-    """``needed``: words of a leak. ``hits``: the n-gram hits that every leak of an item makes at least, whatever part of
+def prepare(rows: list[tuple[object, str]], share: float, size: int = GRAM) -> Items:
+    """``needed``: words of a leak. N-grams that one item alone has are enough to tell it, unless too few are left in some
+    part of it. ``hits``: the n-gram hits that every leak of an item makes at least, whatever part of
     the item it is, with one mistyped place per ``WORDS_PER_TYPO`` words; so asking for them loses none."""
     out = Items()
     every: list[tuple[np.ndarray, int]] = []
@@ -104,32 +105,39 @@ def prepare(rows: list[tuple[int, str]], share: float, size: int = GRAM) -> Item
         out.words.append([(int(e) - len(w), int(e)) for w, e in zip(words, ends, strict=True)])
         out.needed.append(max(1, int(np.ceil(len(words) * share))))
         every.append((grams(codes(out.texts[-1]), size), len(out.ids) - 1))
-    if not every:
+    if not sum(len(e) for e, _ in every):
         return out
     h = np.concatenate([e for e, _ in every])
     owner = np.concatenate([np.full(len(e), i, np.int32) for e, i in every])
     place = np.concatenate([np.arange(len(e), dtype=np.int32) for e, _ in every])
     order = np.argsort(h, kind="stable")
     h, owner, place = h[order], owner[order], place[order]
-    first = np.r_[True, h[1:] != h[:-1]]
-    group = np.cumsum(first) - 1
+    group = np.cumsum(np.r_[True, h[1:] != h[:-1]]) - 1
     low, high = np.full(group[-1] + 1, 1 << 30), np.full(group[-1] + 1, -1)
     np.minimum.at(low, group, owner)
     np.maximum.at(high, group, owner)
-    keep = first & (low == high)[group]
+    keep = (low == high)[group]
+    least = [_least_hits(out, i, place[keep & (owner == i)], size) for i in range(len(out.ids))]
+    # an item much of which stands in other items too is looked for by all of its n-grams
+    common = np.array([n < 1 for n in least])
+    keep |= common[owner]
     out.hashes, out.owner, out.place = h[keep], owner[keep], place[keep]
     out.bits[(out.hashes >> np.uint64(42)).astype(np.int64)] = True
-    for i, words in enumerate(out.words):
-        own = np.zeros(len(out.texts[i]) + 1, np.int64)
-        own[out.place[out.owner == i] + 1] = 1
-        before = np.cumsum(own)
-        n = out.needed[i]
-        spans = [(words[k][0], words[k + n - 1][1]) for k in range(len(words) - n + 1)]
-        least = min(int(before[max(a, b - size + 1)] - before[a]) for a, b in spans)
-        out.hits.append(max(1, least - size * -(-n // WORDS_PER_TYPO)))
+    out.hits = [max(1, _least_hits(out, i, out.place[out.owner == i], size) if common[i] else n) for i, n in enumerate(least)]
     return out
 
 
+def _least_hits(items: Items, i: int, places: np.ndarray, size: int) -> int:
+    """The n-grams, of those at ``places``, that every part of item ``i`` long enough for a leak holds, less those that its
+    mistyped places may spoil."""
+    own = np.zeros(len(items.texts[i]) + 1, np.int64)
+    own[places + 1] = 1
+    before = np.cumsum(own)
+    n, words = items.needed[i], items.words[i]
+    spans = [(words[k][0], words[k + n - 1][1]) for k in range(len(words) - n + 1)]
+    return min(int(before[max(a, b - size + 1)] - before[a]) for a, b in spans) - size * -(-n // WORDS_PER_TYPO)
+
+
 def _extend(doc: str, text: str, i: int, j: int, step: int) -> tuple[int, int]:
     """Follow ``doc[i]`` and ``text[j]`` as they agree, over single mistyped places: a letter doubled, lost, changed or swapped."""
     n, m = len(doc), len(text)
@@ -193,9 +201,10 @@ def scan(ids: list, texts: list[str], items: Items, size: int = GRAM) -> Iterato
         h = grams(c, size)
         near = np.flatnonzero(items.bits[(h >> np.uint64(42)).astype(np.int64)]) if len(h) else np.empty(0, np.int64)
         near = near[owner[near] == owner[near + size - 1]]
-        at = np.minimum(np.searchsorted(items.hashes, h[near]), max(0, len(items.hashes) - 1))
-        hit = items.hashes[at] == h[near] if len(items.hashes) else np.zeros(0, bool)
-        near, at = near[hit], at[hit]
+        first = np.searchsorted(items.hashes, h[near], "left")
+        owners = np.searchsorted(items.hashes, h[near], "right") - first
+        at = np.repeat(first - np.r_[0, np.cumsum(owners)[:-1]], owners) + np.arange(int(owners.sum())) if len(near) else first
+        near = np.repeat(near, owners)
         if len(near):
             pair = owner[near].astype(np.int64) * len(items.ids) + items.owner[at]
             kinds, back, counts = np.unique(pair, return_inverse=True, return_counts=True)
@@ -214,17 +223,17 @@ def scan(ids: list, texts: list[str], items: Items, size: int = GRAM) -> Iterato
         start = stop
 
 
-def _blocks(items: DataFrame, id_column: str, text_column: str) -> list[list[tuple[int, str]]]:
-    """The items in blocks of bounded size, read one block at a time from the cluster."""
-    sized = items.where(F.col(text_column).isNotNull()).select(id_column, text_column)
-    blocks: list[list[tuple[int, str]]] = [[]]
+def _blocks(items: DataFrame, id_column: str, text_column: str) -> list[list[tuple[tuple[int, ...], str]]]:
+    """The items in blocks of bounded size, read one block at a time from the cluster; each text once, with all its ids."""
+    texts = items.where(F.col(text_column).isNotNull()).groupBy(text_column).agg(F.array_sort(F.collect_set(id_column)).alias("ids"))
+    blocks: list[list[tuple[tuple[int, ...], str]]] = [[]]
     held = 0
-    for r in sized.toLocalIterator():
-        bytes_ = 4 * len(r[1])
+    for r in texts.toLocalIterator():
+        bytes_ = 4 * len(r[0])
         if held and held + bytes_ > BLOCK_BYTES:
             blocks.append([])
             held = 0
-        blocks[-1].append((r[0], r[1]))
+        blocks[-1].append((tuple(r.ids), r[0]))
         held += bytes_
     return [b for b in blocks if b]
 
@@ -233,20 +242,18 @@ def leaks(docs: DataFrame, items: DataFrame, share: float = 0.5, doc_id: str = "
     """``doc_id, item_id`` for every document that holds a run of at least ``share`` of an item's words; each pair once per
     document row.
 
-    Null and empty texts leak nothing; an item without letters matches nothing; a repeated item counts as one of its own,
-    but then shares its n-grams, so items must be distinct by text (repeats keep the smallest id). No shuffle: documents
-    are scanned where they lie, once per block of items.
+    Null and empty texts leak nothing; an item without letters matches nothing; items of the same text leak together. No
+    shuffle of documents: they are scanned where they lie, once per block of items.
     """
-    kept = items.groupBy(text).agg(F.min(item_id).alias(item_id))
     spark = docs.sparkSession
     parts = []
-    for block in _blocks(kept, item_id, text):
+    for block in _blocks(items, item_id, text):
         shared = spark.sparkContext.broadcast(prepare(block, share))
 
         def find(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 rows = pdf[pdf[text].notna()]
-                found = [(d, shared.value.ids[i]) for d, i, *_ in scan(list(rows[doc_id]), list(rows[text]), shared.value)]
+                found = [(d, item) for d, i, *_ in scan(list(rows[doc_id]), list(rows[text]), shared.value) for item in shared.value.ids[i]]
                 yield pd.DataFrame({"doc_id": [d for d, _ in found], "item_id": [i for _, i in found]}, dtype="int64")
 
         parts.append(docs.select(doc_id, text).mapInPandas(find, "doc_id long, item_id long"))
@@ -282,8 +289,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, share: float = 0.5, most: f
     is null. ``items`` is how many items leaked, ``removed`` the share of letters gone. Every row stays a row; a text
     without leaks stays as it is. More than one block of items can't be cut in one pass and is refused.
     """
-    kept = items.groupBy(text).agg(F.min(item_id).alias(item_id))
-    blocks = _blocks(kept, item_id, text)
+    blocks = _blocks(items, item_id, text)
     if len(blocks) > 1:
         raise ValueError("more item text than one pass broadcasts: cut block by block")
     shared = docs.sparkSession.sparkContext.broadcast(prepare(blocks[0] if blocks else [], share))
@@ -301,7 +307,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, share: float = 0.5, most: f
                 covered = np.zeros(total, bool)
                 for a, b, _, _ in found:
                     covered[a:b] = True
-                counts[k], gone[k] = len({i for *_, i in found}), float(covered.mean())
+                counts[k], gone[k] = sum(len(shared.value.ids[i]) for i in {i for *_, i in found}), float(covered.mean())
                 places = _letter_places(texts[k])
                 if gone[k] > most or len(places) != total:
                     texts[k] = None
