@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -25,6 +26,13 @@ def in_scope(df: DataFrame, column: str, start: str, end: str) -> DataFrame:
     return df.where(F.col(column).cast("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 
 
+def in_any_month(df: DataFrame, column: str, month: str | None = None) -> DataFrame:
+    """``in_scope`` from the first to the last month there is: every row that has a day. ``month`` names a column for its month."""
+    day = F.col(column).cast("date")
+    rows = df.where(day.isNotNull())
+    return rows.withColumn(month, F.date_format(day, "yyyy_MM")) if month else rows
+
+
 def tenders(bids: DataFrame) -> DataFrame:
     keyed = bids.withColumns({k: trimmed(F.col(k).cast("string")) for k in TENDER_KEY})
     return keyed.select(*[c for c in TENDERS if c in bids.columns])
@@ -60,42 +68,45 @@ def contracts(rows: DataFrame, key: bytes) -> DataFrame:
     return rows.select(trimmed("unified_contract_no").alias("unified_contract_no"), *[text_or_blank(rows, c) for c in CONTRACT_TEXTS], *_numbers(rows, ["contract_amount_krw", "total_contract_amount_krw"]), column_or(rows, "contract_date", None, "date").alias("contract_date"), supplier_pseudonym("contractor_business_registration_no", key).alias("contractor_supplier_id"), *flags)
 
 
-def suppliers(awards: DataFrame, rows: DataFrame, key: bytes) -> DataFrame:
+def suppliers(awards: DataFrame, rows: DataFrame, key: bytes, by: Sequence[str] = ()) -> DataFrame:
     """One row per valid business number in any role: names by majority, roles, counts and the contract sum; ``names`` says
-    how many different names a supplier has (more than one is a conflict). One pass over a union of the three roles."""
+    how many different names a supplier has (more than one is a conflict). One pass over a union of the three roles. With
+    ``by``, columns of both tables that are never null (the month), one row per number and value of these."""
     part = lambda df, number, who, role, amount=None: df.select(
+        *by,
         business_number(number).alias("number"), valid_business_number(number).alias("valid"), F.coalesce(name(column_or(df, who, "", "string")), F.lit("")).alias("who"), F.lit(role).alias("role"),
         (F.col(amount) if amount and amount in df.columns else F.lit(None)).cast("double").alias("amount"),
     ).where("valid")
     won = awards.where(F.col("is_selected_winner"))
     roles = part(awards, "bidder_business_registration_no", "bidder_name_ko", "bidder").unionByName(part(won, "winner_business_registration_no", "winner_name_ko", "winner")).unionByName(part(rows, "contractor_business_registration_no", "contractor_name_ko", "contractor", "contract_amount_krw"))
     is_ = lambda role: F.col("role") == role
-    stats = roles.groupBy("number").agg(
+    stats = roles.groupBy(*by, "number").agg(
         *[F.bool_or(is_(r)).alias(f"is_{r}") for r in ("bidder", "winner", "contractor")],
         F.count_if(is_("bidder")).alias("snapshot_total_bids_in_scope"),
         F.count_if(is_("winner")).alias("snapshot_total_wins_in_scope"),
         F.count_if(is_("contractor")).alias("snapshot_total_contracts_in_scope"),
         F.coalesce(F.sum(F.col("amount").cast("decimal(28,4)")).cast("double"), F.lit(0.0)).alias("snapshot_total_contract_amount_krw"),
     )
-    names = most_frequent_name(roles, "number", F.col("who"))
-    out = stats.join(names, "number", "left")
+    names = most_frequent_name(roles, "number", F.col("who"), by=by)
+    out = stats.join(names, [*by, "number"], "left")
     return out.select(supplier_pseudonym("number", key).alias("supplier_id"), F.coalesce("name", F.lit("")).alias("supplier_name_ko"), *[c for c in stats.columns if c != "number"], F.coalesce("names", F.lit(0)).alias("names"))
 
 
-def agencies(bids: DataFrame, rows: DataFrame) -> DataFrame:
-    """One row per agency code in any of four roles; tenders are counted by notice code, contracts by contract code."""
+def agencies(bids: DataFrame, rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per agency code in any of four roles; tenders are counted by notice code, contracts by contract code. ``by`` as
+    for ``suppliers``."""
 
     def part(df: DataFrame, code: str, who: str, role: str) -> DataFrame:
-        return df.select(blank_to_null(code).alias("agency_code"), F.coalesce(name(column_or(df, who, "", "string")), F.lit("")).alias("who"), F.lit(role).alias("role")).where("agency_code is not null")
+        return df.select(*by, blank_to_null(code).alias("agency_code"), F.coalesce(name(column_or(df, who, "", "string")), F.lit("")).alias("who"), F.lit(role).alias("role")).where("agency_code is not null")
 
     roles = part(bids, "notice_agency_code", "notice_agency_name_ko", "notice").unionByName(part(bids, "demand_agency_code", "demand_agency_name_ko", "demand")).unionByName(part(rows, "contract_agency_code", "contract_agency_name_ko", "contract")).unionByName(part(rows, "demand_agency_code", "demand_agency_name_ko", "demand"))
-    stats = roles.groupBy("agency_code").agg(
+    stats = roles.groupBy(*by, "agency_code").agg(
         *[F.bool_or(F.col("role") == r).alias(f"is_{r}_agency") for r in ("notice", "demand", "contract")],
         F.count_if(F.col("role") == "notice").alias("snapshot_total_tenders_in_scope"),
         F.count_if(F.col("role") == "contract").alias("snapshot_total_contracts_in_scope"),
     )
-    names = most_frequent_name(roles, "agency_code", F.col("who"))
-    return stats.join(names, "agency_code", "left").select("agency_code", F.coalesce("name", F.lit("")).alias("agency_name_ko"), *[c for c in stats.columns if c != "agency_code"], F.coalesce("names", F.lit(0)).alias("names"))
+    names = most_frequent_name(roles, "agency_code", F.col("who"), by=by)
+    return stats.join(names, [*by, "agency_code"], "left").select("agency_code", F.coalesce("name", F.lit("")).alias("agency_name_ko"), *[c for c in stats.columns if c != "agency_code"], F.coalesce("names", F.lit(0)).alias("names"))
 
 
 def bridge(rows: DataFrame, tender_rows: DataFrame) -> DataFrame:

@@ -119,11 +119,12 @@ def text_or_blank(df: DataFrame, name: str, trim: bool = True) -> Column:
     return (trimmed(c) if trim else c).alias(name)
 
 
-def most_frequent_name(df: DataFrame, key: str, name: Column, other: str = "names") -> DataFrame:
-    """Per key its most frequent non-blank name (ties: the smallest) and how many it has: ``key, name, names``.
+def most_frequent_name(df: DataFrame, key: str, name: Column, other: str = "names", by: Sequence[str] = ()) -> DataFrame:
+    """Per key (within ``by``, a month say) its most frequent non-blank name (ties: the smallest) and how many it has:
+    ``*by, key, name, names``.
 
     Counts per (key, name) come first, so a key with very many rows is a few rows when it is decided on.
     """
-    counted = df.select(key, name.alias("_name")).where(F.col(key).isNotNull() & (F.col("_name") != "")).groupBy(key, "_name").agg(F.count(F.lit(1)).alias("_n"))
+    counted = df.select(*by, key, name.alias("_name")).where(F.col(key).isNotNull() & (F.col("_name") != "")).groupBy(*by, key, "_name").agg(F.count(F.lit(1)).alias("_n"))
     best = F.min(F.struct((-F.col("_n")).alias("n"), F.col("_name").alias("name")))
-    return counted.groupBy(key).agg(best["name"].alias("name"), F.count(F.lit(1)).alias(other))
+    return counted.groupBy(*by, key).agg(best["name"].alias("name"), F.count(F.lit(1)).alias(other))

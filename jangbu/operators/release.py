@@ -34,7 +34,16 @@ def global_suppliers(months: Sequence[DataFrame]) -> DataFrame:
     """Roles by any month, counts and amounts by sum. A blank or, within a month, repeated id is an error."""
     for m in months:
         require_unique(m.select(blank_to_null("supplier_id").alias("supplier_id")), ["supplier_id"], "suppliers of a month")
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), months)
+    return _suppliers(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), months))
+
+
+def global_suppliers_by(rows: DataFrame, month: str) -> DataFrame:
+    """``global_suppliers`` of any number of months that lie in one table and are told by a column: one pass, not one a month."""
+    require_unique(rows.select(month, blank_to_null("supplier_id").alias("supplier_id")), [month, "supplier_id"], "suppliers of a month")
+    return _suppliers(rows)
+
+
+def _suppliers(rows: DataFrame) -> DataFrame:
     return rows.groupBy("supplier_id").agg(*[F.bool_or(c).alias(c) for c in ("is_bidder", "is_winner", "is_contractor")], *_sums(rows))
 
 
@@ -44,8 +53,12 @@ def _sums(rows: DataFrame) -> list:
 
 def global_agencies(months: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """Roles by any month, counts by sum, and the name of the last month that has a non-blank one."""
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [m.withColumn("_month", F.lit(name)) for name, m in months])
-    named = F.when(~is_blank("agency_name_ko"), F.struct("_month", "agency_name_ko"))
+    return global_agencies_by(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [m.withColumn("_month", F.lit(name)) for name, m in months]), "_month")
+
+
+def global_agencies_by(rows: DataFrame, month: str) -> DataFrame:
+    """``global_agencies`` of months that lie in one table and are told by a column."""
+    named = F.when(~is_blank("agency_name_ko"), F.struct(month, "agency_name_ko"))
     return rows.groupBy("agency_code").agg(F.coalesce(F.max(named)["agency_name_ko"], F.lit("")).alias("agency_name_ko"), *[F.bool_or(c).alias(c) for c in ("is_notice_agency", "is_demand_agency", "is_contract_agency")], *_sums(rows))
 
 

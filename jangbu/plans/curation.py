@@ -29,26 +29,38 @@ def _plain(df: DataFrame) -> DataFrame:
 
 def curated_tenders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Notices of one quarter with trimmed keys."""
-    rows = C.tenders(C.in_scope(feeds.bids(spark, sf_dir), "bid_notice_date", START, END))
-    return _plain(rows.select(*KEY, "bid_title_ko", "bid_notice_date", "assigned_budget_krw", "is_joint_contract"))
+    return _tenders(C.in_scope(feeds.bids(spark, sf_dir), "bid_notice_date", START, END))
+
+
+def _tenders(bids: DataFrame) -> DataFrame:
+    return _plain(C.tenders(bids).select(*KEY, "bid_title_ko", "bid_notice_date", "assigned_budget_krw", "is_joint_contract"))
 
 
 def curated_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One quarter's bids with surrogate keys, pseudonyms and the scope flag of that quarter's notices."""
-    t = C.tenders(C.in_scope(feeds.bids(spark, sf_dir), "bid_notice_date", START, END))
-    rows = C.submissions(C.in_scope(feeds.awards(spark, sf_dir), "opening_date", START, END), t, feeds.DEMO_KEY)
+    return _submissions(C.in_scope(feeds.bids(spark, sf_dir), "bid_notice_date", START, END), C.in_scope(feeds.awards(spark, sf_dir), "opening_date", START, END))
+
+
+def _submissions(bids: DataFrame, awards: DataFrame) -> DataFrame:
+    rows = C.submissions(awards, C.tenders(bids), feeds.DEMO_KEY)
     return rows.groupBy("bid_submission_id", "bidder_supplier_id", "tender_in_scope", "is_selected_winner").agg(F.count(F.lit(1)).alias("n"))
 
 
 def curated_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = C.tenders(C.in_scope(feeds.bids(spark, sf_dir), "bid_notice_date", START, END))
-    rows = C.outcomes(C.in_scope(feeds.awards(spark, sf_dir), "opening_date", START, END), t, feeds.DEMO_KEY)
+    return _outcomes(C.in_scope(feeds.bids(spark, sf_dir), "bid_notice_date", START, END), C.in_scope(feeds.awards(spark, sf_dir), "opening_date", START, END))
+
+
+def _outcomes(bids: DataFrame, awards: DataFrame) -> DataFrame:
+    rows = C.outcomes(awards, C.tenders(bids), feeds.DEMO_KEY)
     return rows.groupBy(*KEY, "winner_supplier_id", "tender_in_scope").agg(F.count(F.lit(1)).alias("awards"), F.sum(F.col("award_amount_krw").cast("decimal(28,2)")).cast("double").alias("amount"))
 
 
 def curated_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = C.contracts(C.in_scope(feeds.contract_rows(spark, sf_dir), "contract_date", START, END), feeds.DEMO_KEY)
-    return _plain(rows.select("unified_contract_no", "contract_no", "contract_title_ko", "contract_date", "contract_amount_krw", "contractor_supplier_id", "contract_agency_code", "is_domestic_corp"))
+    return _contracts(C.in_scope(feeds.contract_rows(spark, sf_dir), "contract_date", START, END))
+
+
+def _contracts(contracts: DataFrame) -> DataFrame:
+    return _plain(C.contracts(contracts, feeds.DEMO_KEY).select("unified_contract_no", "contract_no", "contract_title_ko", "contract_date", "contract_amount_krw", "contractor_supplier_id", "contract_agency_code", "is_domestic_corp"))
 
 
 def curated_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +93,11 @@ def merged_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three months of awards merged, their scope flag made anew against the three months' notices."""
     notices = reduce(DataFrame.unionByName, _months(feeds.bids(spark, sf_dir), "bid_notice_date"))
     awards = _months(feeds.dated(spark, sf_dir, "award_outcomes").drop("load_batch"), "award_date")
-    return _plain(R.merge_in_scope(awards, notices).select("award_outcome_id", *KEY, "award_amount_krw", "award_date", "tender_in_scope").distinct())
+    return _awards(awards, notices)
+
+
+def _awards(months: list[DataFrame], notices: DataFrame) -> DataFrame:
+    return _plain(R.merge_in_scope(months, notices).select("award_outcome_id", *KEY, "award_amount_krw", "award_date", "tender_in_scope").distinct())
 
 
 def _monthly_suppliers(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -99,6 +115,50 @@ def merged_agencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.global_agencies([(m, C.agencies(b, c).drop("names")) for m, b, c in pairs])
 
 
+def _all_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.in_any_month(feeds.bids(spark, sf_dir), "bid_notice_date", "_month")
+
+
+def _all_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.in_any_month(feeds.awards(spark, sf_dir), "opening_date", "_month")
+
+
+def _all_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.in_any_month(feeds.contract_rows(spark, sf_dir), "contract_date", "_month")
+
+
+def curated_tenders_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``curated_tenders`` of all months there are; so for the six that follow."""
+    return _tenders(_all_bids(spark, sf_dir))
+
+
+def curated_submissions_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _submissions(_all_bids(spark, sf_dir), _all_awards(spark, sf_dir))
+
+
+def curated_outcomes_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _outcomes(_all_bids(spark, sf_dir), _all_awards(spark, sf_dir))
+
+
+def curated_contracts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _contracts(_all_contracts(spark, sf_dir))
+
+
+def merged_awards_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The months' parts of one table are that table's dated rows, so they are read in one pass."""
+    return _awards([C.in_any_month(feeds.dated(spark, sf_dir, "award_outcomes").drop("load_batch"), "award_date")], _all_bids(spark, sf_dir))
+
+
+def merged_suppliers_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = C.suppliers(_all_awards(spark, sf_dir), _all_contracts(spark, sf_dir), feeds.DEMO_KEY, ["_month"])
+    return R.global_suppliers_by(rows.drop("names"), "_month")
+
+
+def merged_agencies_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = C.agencies(_all_bids(spark, sf_dir), _all_contracts(spark, sf_dir), ["_month"])
+    return R.global_agencies_by(rows.drop("names"), "_month")
+
+
 def _unique_tenders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per notice: exact repeats are dropped, of others the last delivered stays."""
     rows = feeds.bids(spark, sf_dir).withColumns({k: blank_to_null(k) for k in KEY}).dropna(subset=KEY)
@@ -151,7 +211,7 @@ _SUPPLIER_STATS = """bool_or(role = 'bidder') as is_bidder, bool_or(role = 'winn
   count(*) filter (role = 'bidder') as snapshot_total_bids_in_scope, count(*) filter (role = 'winner') as snapshot_total_wins_in_scope, count(*) filter (role = 'contractor') as snapshot_total_contracts_in_scope,
   coalesce(cast(sum(cast(amount as decimal(28,4))) as double), 0.0) as snapshot_total_contract_amount_krw"""
 
-QUERIES = {f.__name__: f for f in (curated_tenders, curated_submissions, curated_outcomes, curated_contracts, curated_suppliers, curated_agencies, curated_bridge, gate_report, merged_awards, merged_suppliers, merged_agencies, quickstart_flat, quickstart_gates)}
+QUERIES = {f.__name__: f for f in (curated_tenders, curated_submissions, curated_outcomes, curated_contracts, curated_suppliers, curated_agencies, curated_bridge, gate_report, merged_awards, merged_suppliers, merged_agencies, quickstart_flat, quickstart_gates, curated_tenders_all, curated_submissions_all, curated_outcomes_all, curated_contracts_all, merged_awards_all, merged_suppliers_all, merged_agencies_all)}
 _ID = CLEANING["submission_ids"]
 SQL = {
     "curated_tenders": f"select {_NO} as bid_notice_no, {_ROUND} as bid_notice_round, bid_title_ko, {sql_day('bid_notice_date')}::varchar as bid_notice_date, {feeds.sql_finite('assigned_budget_krw')} as assigned_budget_krw, is_joint_contract from tenders where {sql_day('bid_notice_date')} {_IN}",
@@ -212,3 +272,53 @@ select {sql_trim('t.bid_notice_no')} as bid_notice_no, {sql_trim('t.bid_notice_r
   coalesce(b.n, 0) > 0 as has_linked_contract, coalesce(b.n, 0) as linked_contract_count, b.first::varchar as first_contract_date, b.last::varchar as last_contract_date
 from t left join aw on {sql_trim('t.bid_notice_no')} = aw.no and {sql_trim('t.bid_notice_round')} = aw.r left join b on {sql_trim('t.bid_notice_no')} = b.no and {sql_trim('t.bid_notice_round')} = b.r""",
 }
+
+_ALL_KEYS = f"qk as (select distinct {_NO} as no, {_ROUND} as r from tenders where {sql_day('bid_notice_date')} is not null)"
+
+
+def _sql_monthly_agencies() -> str:
+    """Per month and agency the majority name, and the last month's that has one; roles and counts over all months."""
+    sources = (("tenders", "bid_notice_date", "notice"), ("tenders", "bid_notice_date", "demand"), ("contracts", "contract_date", "contract"), ("contracts", "contract_date", "demand"))
+    roles = " union all ".join(
+        f"select strftime({sql_day(d)}, '%Y_%m') as month, {sql_trim(f'{role}_agency_code')} as agency_code, coalesce({sql_trim(_FLAT_NAME.format(c=f'{role}_agency_name_ko'))}, '') as who, '{t}' as source, '{role}' as role from {t} where {sql_day(d)} is not null and {sql_trim(f'{role}_agency_code')} <> ''"
+        for t, d, role in sources
+    )
+    return f"""
+with roles as ({roles}),
+named as (select agency_code, month, who, count(*) as n from roles where who <> '' group by all),
+last as (select * from named qualify row_number() over (partition by agency_code order by month desc, n desc, who) = 1)
+select r.agency_code, coalesce(any_value(l.who), '') as agency_name_ko, bool_or(role = 'notice') as is_notice_agency, bool_or(role = 'demand') as is_demand_agency, bool_or(role = 'contract') as is_contract_agency,
+  count(*) filter (role = 'notice') as snapshot_total_tenders_in_scope, count(*) filter (role = 'contract') as snapshot_total_contracts_in_scope
+from roles r left join last l on r.agency_code = l.agency_code group by 1"""
+
+
+#: The queries over all months have SQL of their own; that of the quarter's stays as it is.
+SQL |= {
+    "curated_tenders_all": f"select {_NO} as bid_notice_no, {_ROUND} as bid_notice_round, bid_title_ko, {sql_day('bid_notice_date')}::varchar as bid_notice_date, {feeds.sql_finite('assigned_budget_krw')} as assigned_budget_krw, is_joint_contract from tenders where {sql_day('bid_notice_date')} is not null",
+    "curated_submissions_all": f"""
+with {_ALL_KEYS}, {feeds.SQL_AWARDS},
+b as (select * replace ({_PSEUDO('bidder_no')} as bidder_supplier_id) from awards where opening_date is not null)
+{_ID[: _ID.index(', count(*) as n')].replace(' as id', ' as bid_submission_id')}, bidder_supplier_id,
+  exists (select 1 from qk where qk.no = {sql_trim('b.bid_notice_no')} and qk.r = {sql_trim('b.bid_notice_round')}) as tender_in_scope, is_selected_winner, count(*) as n from b group by all""",
+    "curated_outcomes_all": f"""
+with {_ALL_KEYS}, {feeds.SQL_AWARDS}
+select {_NO} as bid_notice_no, {_ROUND} as bid_notice_round, {_PSEUDO('winner_no')} as winner_supplier_id,
+  exists (select 1 from qk where qk.no = {sql_trim('awards.bid_notice_no')} and qk.r = {sql_trim('awards.bid_notice_round')}) as tender_in_scope, count(*) as awards, cast(sum(cast(bid_amount_krw as decimal(28,2))) as double) as amount
+from awards where is_selected_winner and opening_date is not null group by all""",
+    "curated_contracts_all": f"""
+with {feeds.SQL_CONTRACTS}
+select {sql_trim('unified_contract_no')} as unified_contract_no, coalesce({sql_trim('contract_no')}, '') as contract_no, coalesce({sql_trim('contract_title_ko')}, '') as contract_title_ko, contract_date::varchar as contract_date, contract_amount_krw,
+  {_PSEUDO('contractor_no')} as contractor_supplier_id, coalesce({sql_trim('contract_agency_code')}, '') as contract_agency_code, coalesce(is_domestic_corp, false) as is_domestic_corp from contract_feed where contract_date is not null""",
+    "merged_awards_all": f"""
+with {_ALL_KEYS}
+select distinct award_outcome_id, bid_notice_no, bid_notice_round, {feeds.sql_finite('award_amount_krw')} as award_amount_krw, {sql_day('award_date')}::varchar as award_date,
+  exists (select 1 from qk where qk.no = {sql_trim('a.bid_notice_no')} and qk.r = {sql_trim('a.bid_notice_round')}) as tender_in_scope from award_outcomes a where {sql_day('award_date')} is not null""",
+    "merged_suppliers_all": f"""
+with {feeds.SQL_AWARDS}, {feeds.SQL_CONTRACTS},
+roles as (
+  select bidder_no as number, 'bidder' as role, null::double as amount from awards where opening_date is not null
+  union all select winner_no, 'winner', null from awards where is_selected_winner and opening_date is not null
+  union all select contractor_no, 'contractor', contract_amount_krw from contract_feed where contract_date is not null)
+select {_PSEUDO('number')} as supplier_id, {_SUPPLIER_STATS} from roles where {feeds.sql_valid('number')} group by number""",
+    "merged_agencies_all": _sql_monthly_agencies(),
+}
