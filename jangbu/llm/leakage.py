@@ -31,6 +31,8 @@ BLOCK_BYTES = 16_000_000
 SLICE = 1_000_000
 
 _TAG = re.compile(r"<[^<>]{0,400}>")
+#: What html.unescape takes for a character reference.
+_REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _tables: dict[str, np.ndarray] = {}
 
@@ -262,22 +264,39 @@ def leaks(docs: DataFrame, items: DataFrame, share: float = 0.5, doc_id: str = "
     return reduce(DataFrame.unionByName, parts)
 
 
+def _unescaped(text: str) -> tuple[str, list[int]]:
+    """``html.unescape`` and the place in ``text`` of each character. A name without its semicolon may be resolved in part
+    (&ampb is &b); what is left of it stands where it stood."""
+    out, places, last = [], [], 0
+    for m in _REFERENCE.finditer(text):
+        new = html.unescape(m.group())
+        same = 0
+        while m.group()[1] != "#" and same < min(len(new), len(m.group())) and new[-1 - same] == m.group()[-1 - same]:
+            same += 1
+        out += [text[last : m.start()], new]
+        places += [*range(last, m.start()), *[m.start()] * (len(new) - same), *range(m.end() - same, m.end())]
+        last = m.end()
+    return "".join([*out, text[last:]]), [*places, *range(last, len(text))]
+
+
 def _letter_places(text: str) -> list[int]:
-    """For each letter of the folded text, the place in ``text`` it comes from (for the few texts that leak)."""
+    """For each letter of the folded text, the place in ``text`` it comes from (for the few texts that leak). The steps are
+    those of ``fold``: references are resolved before tags are dropped, then characters that compose are taken together."""
+    text, at = _unescaped(text)
+    plain, source, last = [], [], 0
+    for m in _TAG.finditer(text):
+        plain += [text[last : m.start()], " "]
+        source += at[last : m.start() + 1]
+        last = m.end()
+    plain, source = "".join([*plain, text[last:]]), source + at[last:]
+    form = lambda x: unicodedata.normalize("NFKC", x)
     places: list[int] = []
-    marks = [(m.start(), m.end()) for m in re.finditer(r"<[^<>]{0,400}>|&#?\w{1,32};", text)]
-    i, k = 0, 0
-    while i < len(text):
-        if k < len(marks) and i == marks[k][0]:
-            if text[i] == "&":
-                places += [i] * sum(c.isalnum() for c in fold(html.unescape(text[i : marks[k][1]])))
-            i = marks[k][1]
-            k += 1
-            continue
+    i = 0
+    while i < len(plain):
         j = i + 1
-        while j < len(text) and (unicodedata.combining(text[j]) or 0x1160 <= ord(text[j]) <= 0x11FF):
+        while j < len(plain) and not plain[j].isascii() and not "가" <= plain[j] <= "힣" and (unicodedata.combining(form(plain[j])[0]) or form(plain[i : j + 1]) != form(plain[i:j]) + form(plain[j])):
             j += 1
-        places += [i] * sum(c.isalnum() for c in unicodedata.normalize("NFKC", text[i:j]).casefold())
+        places += [source[i]] * sum(c.isalnum() for c in form(plain[i:j]).casefold())
         i = j
     return places
 

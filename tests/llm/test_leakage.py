@@ -102,3 +102,21 @@ def test_letter_places():
     for t in ("a<b>b</b>&nbsp;c&amp;d １ 가", "한글 <i>x", "&#44032;나"):
         assert len(_letter_places(t)) == len(letters(t))
     assert fold("<p>A&amp;B</p>").strip() == "a&b"
+
+
+def test_letters_of_escaped_mark_up_are_placed():
+    for t, want in (("x &lt;b&gt;word&lt;/b&gt; y", "x" + "word" + "y"), ("&lt;p class=&quot;a&quot;&gt;가&amp;나", "가나"), ("A&ampB &notit", "Abit"), ("ㄱㅏ &#x30;", "가0")):
+        assert letters(t) == fold(want)
+        assert len(_letter_places(t)) == len(letters(t))
+    t = "x &lt;b&gt;word&lt;/b&gt; y"
+    assert "".join(t[p] for p in _letter_places(t)) == "xwordy"
+
+
+def test_a_short_leak_beside_escaped_mark_up(spark):
+    w = " ".join(passage(2))
+    long = " ".join(" ".join(passage(500 + k, 60)) for k in range(10))
+    docs = spark.createDataFrame([(1, f"앞 &lt;b&gt;굵은&lt;/b&gt; 글 {long} {w} {long} 뒤 &lt;i&gt;글&lt;/i&gt;", "x", "y")], D)
+    got = without_leaks(docs, spark.createDataFrame([(i, t, "z") for i, t in ITEMS], E)).first()
+    assert got.items == 1 and 0 < got.removed < 0.1
+    assert got.text is not None and got.text.startswith("앞 &lt;b&gt;굵은") and got.text.endswith("뒤 &lt;i&gt;글&lt;/i&gt;") and w not in got.text
+    assert found([got.text]) == set()
