@@ -301,42 +301,76 @@ def _letter_places(text: str) -> list[int]:
     return places
 
 
+def _cut(text: str, total: int, spans: list[tuple[int, int]], most: float) -> tuple[str | None, float]:
+    """``text`` without the union of the spans of its letters, and the share of letters gone."""
+    covered = np.zeros(total, bool)
+    for a, b in spans:
+        covered[a:b] = True
+    gone, places = float(covered.mean()), _letter_places(text)
+    if gone > most or len(places) != total:
+        return None, gone
+    edges = np.flatnonzero(np.diff(np.r_[False, covered, False].astype(np.int8)))
+    out, last = [], 0
+    for a, b in edges.reshape(-1, 2):
+        out.append(text[last : places[a]])
+        last = places[b] if b < total else len(text)
+    return "".join([*out, text[last:]]), gone
+
+
 def without_leaks(docs: DataFrame, items: DataFrame, share: float = 0.5, most: float = 0.5, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """The corpus without its leaks: ``doc_id, text, items, removed``.
 
     Leaked spans are cut out; where they are more than ``most`` of a document's letters, the whole text goes and ``text``
     is null. ``items`` is how many items leaked, ``removed`` the share of letters gone. Every row stays a row; a text
-    without leaks stays as it is. More than one block of items can't be cut in one pass and is refused.
+    without leaks stays as it is. One block of items is cut in one pass without a shuffle; of more blocks each is a pass
+    that finds spans, which come together by the text's hash, and their union is cut.
     """
     blocks = _blocks(items, item_id, text)
+    context = docs.sparkSession.sparkContext
     if len(blocks) > 1:
-        raise ValueError("more item text than one pass broadcasts: cut block by block")
-    shared = docs.sparkSession.sparkContext.broadcast(prepare(blocks[0] if blocks else [], share))
+        return _without_blocks(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), [context.broadcast(prepare(b, share)) for b in blocks], most)
+    shared = context.broadcast(prepare(blocks[0] if blocks else [], share))
 
     def cut_spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = list(pdf[text])
-            spans: dict[int, list[tuple[int, int, str, int]]] = defaultdict(list)
+            spans: dict[int, list[tuple[int, int, int, int]]] = defaultdict(list)
             present = [k for k, t in enumerate(texts) if isinstance(t, str)]
             for k, i, a, b, letters_ in scan(present, [texts[k] for k in present], shared.value):
-                spans[k].append((a, b, letters_, i))
+                spans[k].append((a, b, len(letters_), i))
             counts, gone = [0] * len(texts), [0.0] * len(texts)
             for k, found in spans.items():
-                total = len(found[0][2])
-                covered = np.zeros(total, bool)
-                for a, b, _, _ in found:
-                    covered[a:b] = True
-                counts[k], gone[k] = sum(len(shared.value.ids[i]) for i in {i for *_, i in found}), float(covered.mean())
-                places = _letter_places(texts[k])
-                if gone[k] > most or len(places) != total:
-                    texts[k] = None
-                    continue
-                edges = np.flatnonzero(np.diff(np.r_[False, covered, False].astype(np.int8)))
-                out, last = [], 0
-                for a, b in edges.reshape(-1, 2):
-                    out.append(texts[k][last : places[a]])
-                    last = places[b] if b < total else len(texts[k])
-                texts[k] = "".join([*out, texts[k][last:]])
+                counts[k] = sum(len(shared.value.ids[i]) for i in {i for *_, i in found})
+                texts[k], gone[k] = _cut(texts[k], found[0][2], [(a, b) for a, b, *_ in found], most)
             yield pd.DataFrame({"doc_id": pdf[doc_id], "text": pd.Series(texts, dtype=object, index=pdf.index), "items": np.array(counts, np.int64), "removed": gone})
 
     return docs.select(doc_id, text).mapInPandas(cut_spans, "doc_id long, text string, items long, removed double")
+
+
+def _without_blocks(docs: DataFrame, blocks: list, most: float) -> DataFrame:
+    """Spans depend on the text alone, so they are kept by its hash; a task holds one block at a time."""
+    hashed = docs.withColumn("hash", F.sha2("text", 256))
+    parts = []
+    for k, block in enumerate(blocks):
+
+        def find(batches: Iterator[pd.DataFrame], block=block, k=k) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                rows = pdf[pdf["text"].notna()]
+                found = [(h, i, a, b, len(letters_)) for h, i, a, b, letters_ in scan(list(rows["hash"]), list(rows["text"]), block.value)]
+                yield pd.DataFrame({
+                    "hash": pd.Series([h for h, *_ in found], dtype=object), "low": np.array([a for _, _, a, _, _ in found], np.int64), "high": np.array([b for _, _, _, b, _ in found], np.int64),
+                    "total": np.array([n for *_, n in found], np.int64), "block": np.full(len(found), k, np.int64), "text_no": np.array([i for _, i, *_ in found], np.int64), "ids": np.array([len(block.value.ids[i]) for _, i, *_ in found], np.int64),
+                })
+
+        parts.append(hashed.select("hash", "text").mapInPandas(find, "hash string, low long, high long, total long, block long, text_no long, ids long"))
+    spans = reduce(DataFrame.unionByName, parts).groupBy("hash").agg(
+        F.collect_set(F.struct("low", "high")).alias("spans"), F.max("total").alias("total"), F.aggregate(F.collect_set(F.struct("block", "text_no", "ids")), F.lit(0).cast("long"), lambda n, x: n + x["ids"]).alias("items")
+    )
+
+    def cut_spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            cuts = [(t, 0.0) if s is None else _cut(t, int(n), [(x["low"], x["high"]) for x in s], most) for t, s, n in zip(pdf["text"], pdf["spans"], pdf["total"], strict=True)]
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "text": pd.Series([t for t, _ in cuts], dtype=object, index=pdf.index), "items": pdf["items"], "removed": [g for _, g in cuts]})
+
+    rows = hashed.join(spans, "hash", "left").select("doc_id", "text", "spans", "total", F.coalesce("items", F.lit(0).cast("long")).alias("items"))
+    return rows.mapInPandas(cut_spans, "doc_id long, text string, items long, removed double")

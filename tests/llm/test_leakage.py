@@ -120,3 +120,18 @@ def test_a_short_leak_beside_escaped_mark_up(spark):
     assert got.items == 1 and 0 < got.removed < 0.1
     assert got.text is not None and got.text.startswith("앞 &lt;b&gt;굵은") and got.text.endswith("뒤 &lt;i&gt;글&lt;/i&gt;") and w not in got.text
     assert found([got.text]) == set()
+
+
+def test_cutting_for_many_blocks_is_as_for_one(spark, monkeypatch):
+    from jangbu.llm import leakage
+
+    long = " ".join(" ".join(passage(500 + k, 60)) for k in range(8))
+    a, b = " ".join(passage(2)), " ".join(passage(7))
+    docs = spark.createDataFrame([(1, f"{long} {a} {long} {b} 끝", "x", "y"), (1, f"{long} {a}", "x", "y"), (2, a, "x", "y"), (3, "그대로", "x", "y"), (4, None, "x", "y"), (5, a, "x", "y")], D)
+    items = spark.createDataFrame([(i, t, "z") for i, t in ITEMS] + [(103, ITEMS[2][1], "repeat")], E)
+    one = rows(without_leaks(docs, items))
+    monkeypatch.setattr(leakage, "BLOCK_BYTES", 4 * max(len(t) for _, t in ITEMS))
+    assert len(leakage._blocks(items, "item_id", "text")) > 5
+    many = rows(without_leaks(docs, items))
+    assert many == one
+    assert {r[0]: r[2] for r in many if r[1] and r[1].endswith("끝")} == {1: 3} and len(many) == 6
