@@ -58,7 +58,11 @@ _ADDRESS = re.compile(
 _TITLED = re.compile(rf"(?P<name>(?<![가-힣]){_NAME})(?:\s(?:{_TITLE})|(?:님|씨))(?![가-힣]*(?:담당관|실무자))")
 _TITLE_NEAR = re.compile(rf"[가-힣](?:\s(?:{_TITLE})|(?:님|씨)(?=[은는이가을를께의,.\s]))")
 _LABELED_NAME = re.compile(rf"(?:{'|'.join(LABELS.split())})(?:은|는|이|가)?\s?[:：]?\s(?:성명\s?[:：]?\s?)?(?P<name>{_NAME})(?=이고|이며|이다|입니다|님|씨|은|는|이|가|을|를|의|에게|께|\s?[/|,.)(;]|\s?$|\s)")
-_PRESENT = re.compile(r"(?:참석자?|출석자?|위원|배석자?)\s?[:：]\s?(?P<list>[^\n(<.]{2,400})")
+_PRESENT = re.compile(r"(?:참석자?|출석자?|위원|배석자?)\s?[:：]\s?")
+#: One entry of such a list: a name, perhaps with a title or a bracket behind it; anything else up to the next mark; what parts entries.
+_LISTED = re.compile(rf"\s*(?P<name>{_NAME})(?=\s*(?:\Z|[,、·.<(（]|{_TITLE}))")
+_ENTRY_REST = re.compile(r"[^,、·.<(（]*(?:[(（][^()（）]*[)）]\s*)*")
+_PARTED = re.compile(r"[,、·.]")
 _ONE_NAME = re.compile(rf"{_NAME}\Z")
 _CAPITAL = re.compile(r"(?<![A-Za-z@._+-])[A-Z][A-Za-z]+(?![A-Za-z@_+])")
 _GIVEN_AFTER = re.compile(r"(?P<gap>,? )(?P<given>[A-Z][a-z]+(?:-[a-z]+)?)(?![A-Za-z@_+-])(?!\.[A-Za-z])")
@@ -145,18 +149,31 @@ def _names(text: str) -> Iterator[Span]:
                 break
     for m in _LABELED_NAME.finditer(text):
         yield Span(m.start("name"), m.end("name"), "name")
-    for m in _PRESENT.finditer(text):
-        at = m.start("list")
-        for part in re.split(r"([,、·])", m.group("list")):
-            bare = part.strip()
-            found = re.match(rf"(?:{_NAME})(?=\s*(?:\Z|{_TITLE}))", bare) if bare not in {",", "、", "·", ""} else None
-            if found:
-                start = at + part.index(bare)
-                yield Span(start, start + found.end(), "name")
-            at += len(part)
+    yield from _listed_names(text)
     yield from _latin_names(text)
 
 
+def _listed_names(text: str) -> Iterator[Span]:
+    """Names of those present, entry by entry to the end of the line; text behind a bracket or a full stop that isn't a
+    further entry ends the list."""
+    heads = list(_PRESENT.finditer(text))
+    for k, head in enumerate(heads):
+        line = text.find("\n", head.end())
+        end = min(len(text) if line < 0 else line, heads[k + 1].start() if k + 1 < len(heads) else len(text))
+        at, stopped = head.end(), False
+        while at < end:
+            m = _LISTED.match(text, at, end)
+            if m:
+                yield Span(m.start("name"), m.end("name"), "name")
+            elif stopped:
+                break
+            at = _ENTRY_REST.match(text, m.end() if m else at, end).end()
+            parted = _PARTED.match(text, at, end)
+            if not parted:
+                break
+            at, stopped = parted.end(), parted.group() == "."
+
+
 def _latin_names(text: str) -> Iterator[Span]:
     """KIM Saebom; Kim, Saebom; Saebom Kim; Kim Saebom. A word in front or behind that makes it a firm or a sentence does not count."""
     at = 0

@@ -98,3 +98,12 @@ def test_operator(spark):
     assert rows(pii_found(df).where("doc_id = 1")) == [(1, "email", "a@b.example"), (1, "name", "김새봄"), (1, "phone", "010-1234-5678")]
     assert sorted(r.doc_id for r in pii_found(df).select("doc_id").distinct().collect()) == [1, 4]
     assert pii_found(df.limit(0)).count() == 0
+
+
+def test_lists_are_read_to_the_end_of_the_line():
+    names = lambda t: [v for k, v in kinds(t) if k == "name"]
+    assert names("참석: 김가나(총무과), 이다라(계약과. 2층), 박마바 (이상 3차 회의) 소음, 전기료, 민원") == ["김가나", "이다라", "박마바"]
+    assert names("참석: 김가나. 이다라. 회의는, 전기료, 순으로\n박마바, 최사아") == ["김가나", "이다라"]
+    assert names("출석: 총무과, 김가나 과장(총무과), 참석: 이다라<br>") == ["김가나", "이다라"]
+    many = [f"김{a}{b}" for a in "가나다라마바사아자차" for b in "하거너더러머버서어저"]
+    assert names("참석: " + ", ".join(many)) == many
