@@ -20,6 +20,8 @@ FAMILY_LATIN = "Kim Lee Yi Rhee Park Pak Choi Choe Jung Jeong Chung Kang Cho Jo
 TITLES = "사무관 주무관 서기관 감독관 조사관 소장 팀장 과장 부장 차장 실장 국장 계장 반장 본부장 대리 주임 사원 대표 대표이사 이사 위원 위원장 교수 박사 기사 선생 선생님 여사 씨 님 귀하 귀중"
 LABELS = "담당자 작성자 신청인 성명 이름 민원인 현장대리인 대표자 수령인 수신인 발신인 연락인 책임자 보호자 예금주 고객명"
 NOT_NAMES = "Call Reply Contact Applicant Mr Ms Mrs Dr By To From The And Or Of In On At For With Questions Minutes Section Lot Round File Item Product Unit Tender Notice Mail Phone Mobile Attn Dear Hello Only Because Bids"
+#: Ordinary words that begin like a family name; with a title behind them, or inside a longer word, they name a post or a firm.
+ORDINARY = "현장 공사 공무 공정 공장 공동 공인 공공 기술 기획 기계 기관 기타 전기 전기료 전산 전략 전담 전문 전임 전무 전체 전국 전자 전직 안전 안내 도로 도시 도청 조사 조달 조경 조직 조정 구매 구청 구조 구역 심사 심의 선임 선정 선생 설계 설비 설치 인사 인증 정보 정책 정비 정산 방재 방송 방호 임시 임원 임명 마을 마음 고객 고모 고문 고용 하나 하수 하자 이사 이모 이전 이하 이상 이용 신임 신규 신청 신축 명예 문화 문서 민원 민간 주민 주택 주차 주임 주인 주무 주관 주요 지원 지방 지역 지점 지도 지정 지사 지적 국가 국제 국립 국토 국내 경영 경리 교육 관리 감독 감리 운영 사업 시설 시공 품질 환경 건설 건축 토목 총무 회계 재무 영업 개발 연구 계약 위생 위탁 위촉 표준 소방 소속 서울 서무 석면 용역 우수 원가 원장 원격 유지 유통 유역 육성 옥외 장비 차량 차기 차석 천안 추진 추천 추가 오전 오후 양측 양사 성능 노무 노동 남부 강남 강서 권역 금융 금속 연락 연구 여성 여객 배수 배관 백화 변호 변리 송무 허가 홍보 나머 반장 당사 미정 해당 현황 현직 함께 황색 진행 진단 편집 편의 제조 제품 제작 제출 모든 모집 탁송 어린 은행 맹인 왕복 길이 마감 기록 기재 기존 명의 주소 전화 지급 성별 소유 박물 한국 한전 오류"
 TOP_LEVELS = "com org net edu gov mil int info biz name kr co jp cn us uk eu de fr ru io ai app dev test example invalid localhost local"
 FIRMS = "Systems Supply Engineering Works Co Ltd Inc Corp Corporation Group Foods Construction River Bridge Street Station Office"
 
@@ -29,6 +31,8 @@ _FAMILY = rf"(?:{'|'.join(FAMILY_TWO.split())}|[{FAMILY_ONE.replace(' ', '')}])"
 _FAMILY_APART = rf"(?:{'|'.join(' '.join(f) for f in FAMILY_TWO.split())}|[{FAMILY_ONE.replace(' ', '')}])"
 #: 김가나, 김 가나, 김 가 나 and the same with family names of two syllables.
 _NAME = rf"(?:{_FAMILY} ?[가-힣]{{2}}|{_FAMILY_APART} [가-힣] [가-힣])"
+#: One or three given syllables, which only a title, a label with a colon or a place in a list makes a name.
+_RARE_NAME = rf"{_FAMILY}(?:[가-힣]|[가-힣]{{3}})"
 _TITLE = "|".join(sorted(TITLES.split(), key=len, reverse=True))
 
 _AT_SIGN = re.compile(r"[@＠]|골뱅이|[\[(（{]\s?(?:at|AT)\s?[\])）}]|\s(?:at|AT)\s(?=[A-Za-z0-9-]+(?:\s?[\[(]?(?:dot|DOT)|\.[A-Za-z]))")
@@ -56,11 +60,14 @@ _ADDRESS = re.compile(
 )
 
 _TITLED = re.compile(rf"(?P<name>(?<![가-힣]){_NAME})(?:\s(?:{_TITLE})|(?:님|씨))(?![가-힣]*(?:담당관|실무자))")
+_TITLED_RARE = re.compile(rf"(?P<name>(?<![가-힣]){_RARE_NAME})(?:\s(?:{_TITLE})|(?:님|씨))(?![가-힣]*(?:담당관|실무자))")
 _TITLE_NEAR = re.compile(rf"[가-힣](?:\s(?:{_TITLE})|(?:님|씨)(?=[은는이가을를께의,.\s]))")
 _LABELED_NAME = re.compile(rf"(?:{'|'.join(LABELS.split())})(?:은|는|이|가)?\s?[:：]?\s(?:성명\s?[:：]?\s?)?(?P<name>{_NAME})(?=이고|이며|이다|입니다|님|씨|은|는|이|가|을|를|의|에게|께|\s?[/|,.)(;]|\s?$|\s)")
 _PRESENT = re.compile(r"(?:참석자?|출석자?|위원|배석자?)\s?[:：]\s?")
+_LABELED_RARE = re.compile(rf"(?:{'|'.join(LABELS.split())})\s?(?:성명\s?)?[:：]\s?(?P<name>{_RARE_NAME})(?=이고|이며|이다|입니다|에게|(?:님|씨|은|는|이|가|을|를|의|께)(?![가-힣])|\s?[/|,.)(;]|\s?$|\s)")
 #: One entry of such a list: a name, perhaps with a title or a bracket behind it; anything else up to the next mark; what parts entries.
 _LISTED = re.compile(rf"\s*(?P<name>{_NAME})(?=\s*(?:\Z|[,、·.<(（]|{_TITLE}))")
+_LISTED_RARE = re.compile(rf"\s*(?P<name>{_RARE_NAME})(?=\s*(?:\Z|[,、·.<(（])|\s(?:{_TITLE}))")
 _ENTRY_REST = re.compile(r"[^,、·.<(（]*(?:[(（][^()（）]*[)）]\s*)*")
 _PARTED = re.compile(r"[,、·.]")
 _ONE_NAME = re.compile(rf"{_NAME}\Z")
@@ -69,6 +76,7 @@ _GIVEN_AFTER = re.compile(r"(?P<gap>,? )(?P<given>[A-Z][a-z]+(?:-[a-z]+)?)(?![A-
 _GIVEN_BEFORE = re.compile(r"(?<![A-Za-z@._+-])(?P<given>[A-Z][a-z]+(?:-[a-z]+)?) \Z")
 _DEPARTMENT = re.compile(r"[과팀실국청]\Z")
 _STOP, _FIRM, _TOP = frozenset(NOT_NAMES.split()), frozenset(FIRMS.split()), frozenset(TOP_LEVELS.split())
+_ORDINARY, _TITLES = frozenset(ORDINARY.split()), frozenset(TITLES.split())
 _DIGITS = re.compile(r"\d")
 
 
@@ -136,6 +144,12 @@ def _addresses(text: str) -> Iterator[Span]:
             yield Span(m.start(), m.end(), "address")
 
 
+def _rare(name: str) -> bool:
+    """Whether a spelling of one or three given syllables may be a name: neither a title or a department, nor made of ordinary words."""
+    parts = {name, name[:2], name[2:]} if len(name) == 4 else {name}
+    return not (parts & (_ORDINARY | _TITLES) or _DEPARTMENT.search(name))
+
+
 def _names(text: str) -> Iterator[Span]:
     for near in _TITLE_NEAR.finditer(text):
         for back in (8, 7, 6, 5, 4, 3):  # the longest spelling that ends at the title
@@ -147,8 +161,20 @@ def _names(text: str) -> Iterator[Span]:
                 if not _DEPARTMENT.search(m.group("name")):
                     yield Span(start, m.end("name"), "name")
                 break
+        else:
+            for back in (5, 4, 2):
+                start = near.start() + 1 - back
+                m = _TITLED_RARE.match(text, start) if start >= 0 else None
+                if m and m.end("name") == near.start() + 1 and _rare(m.group("name")):
+                    yield Span(start, m.end("name"), "name")
+                    break
+    labelled = set()
     for m in _LABELED_NAME.finditer(text):
+        labelled.add(m.start("name"))
         yield Span(m.start("name"), m.end("name"), "name")
+    for m in _LABELED_RARE.finditer(text):
+        if m.start("name") not in labelled and _rare(m.group("name")):
+            yield Span(m.start("name"), m.end("name"), "name")
     yield from _listed_names(text)
     yield from _latin_names(text)
 
@@ -163,6 +189,9 @@ def _listed_names(text: str) -> Iterator[Span]:
         at, stopped = head.end(), False
         while at < end:
             m = _LISTED.match(text, at, end)
+            if not m and not stopped:
+                m = _LISTED_RARE.match(text, at, end)
+                m = m if m and _rare(m.group("name")) else None
             if m:
                 yield Span(m.start("name"), m.end("name"), "name")
             elif stopped:

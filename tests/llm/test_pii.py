@@ -107,3 +107,21 @@ def test_lists_are_read_to_the_end_of_the_line():
     assert names("출석: 총무과, 김가나 과장(총무과), 참석: 이다라<br>") == ["김가나", "이다라"]
     many = [f"김{a}{b}" for a in "가나다라마바사아자차" for b in "하거너더러머버서어저"]
     assert names("참석: " + ", ".join(many)) == many
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("문의는 허준 과장에게", ["허준"]),
+        ("작성자: 이산", ["이산"]),
+        ("작성자:이산이고 담당자: 김빛나라 /", ["이산", "김빛나라"]),
+        ("김빛나라 주무관과 허준님은", ["김빛나라", "허준"]),
+        ("참석: 허준, 김빛나라(총무과), 이다라, 위원, 총무과", ["허준", "김빛나라", "이다라"]),
+        ("담당자: 김새봄이 왔다", ["김새봄"]),
+        ("현장 소장, 공사 감독관, 안전관리 팀장, 기술지원 과장, 전기 기사, 심사 위원, 도로과 과장", []),
+        ("고객님은 선생님께, 소장님이 이사님을", []),
+        ("담당자 지정, 담당자 지정하여 통보", []),
+    ],
+)
+def test_names_of_one_and_three_given_syllables(text, want):
+    assert [v for k, v in kinds(text) if k == "name"] == want
