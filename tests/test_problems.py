@@ -116,13 +116,13 @@ def test_exact_quantiles(spark):
     data = [(k, rng.choice([float("nan"), None, rng.lognormvariate(10, 4), 5.0, -rng.random()]), "x") for k in ["hot"] * 3000 + ["cold"] * 50 + [None] * 40]
     df = spark.createDataFrame(data, "k string, v double, n string")
     probs = [0.0, 0.1, 0.5, 0.99, 1.0]
-    for heavy in (100, 100_000):
-        got = {(r.k, r.prob): (r.n, r.value) for r in exact_quantiles(df, ["k"], "v", probs, heavy_rows=heavy, bins=16).collect()}
+    for share in (0.5, 0.001):
+        got = {(r.k, r.prob): (r.n, r.value) for r in exact_quantiles(df, ["k"], "v", probs, share=share, bins=16).collect()}
         for k in ("hot", "cold", None):
             v = np.sort([x for kk, x, _ in data if kk == k and x is not None and x == x])
             for p in probs:
                 assert got[k, p] == (len(v), v[max(1, int(np.ceil(round(p * len(v), 9)))) - 1])
-        for r in exact_quantiles(df, ["k"], "v", [0.1, 0.5], heavy_rows=heavy, bins=16, continuous=True).collect():
+        for r in exact_quantiles(df, ["k"], "v", [0.1, 0.5], share=share, bins=16, continuous=True).collect():
             v = np.array([x for kk, x, _ in data if kk == r.k and x is not None and x == x])
             assert abs(r.value - np.quantile(v, r.prob)) <= 1e-9 * abs(r.value)
     assert exact_quantiles(df.limit(0), ["k"], "v", [0.5]).count() == 0
