@@ -32,13 +32,15 @@ def selected(rows: DataFrame, targets: Callable[[DataFrame], DataFrame], which:
     """The values of asked ranks: ``k, *which, n, value``.
 
     ``rows`` has ``k`` (any type), ``v`` (a finite number) and ``b``, a bin of it that keeps its order, of which a key has a
-    bounded number; rows with a null ``b`` hold no value but count in ``total``. ``targets`` gives, for the rows ``k, n,
+    bounded number; rows with a null ``b`` hold no value but count in ``total``; with a column ``w`` each row stands for so
+    many. ``targets`` gives, for the rows ``k, n,
     total`` of all keys, the rows ``k, *which, n, rank`` with 1-based ranks among the ``n`` values.
 
     Intervals of keys with at least ``share`` of all rows are broadcast, as their number is bounded by that, and their rows
     are counted where they lie; intervals of the other keys are joined by key and bin.
     """
-    first = cut(rows.groupBy("k", "b").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")))
+    many = (F.sum("w") if "w" in rows.columns else F.count(F.lit(1))).alias("c")
+    first = cut(rows.groupBy("k", "b").agg(many, F.min("v").alias("lo"), F.max("v").alias("hi")))
     counts = first.groupBy("k").agg(F.coalesce(F.sum(F.when(F.col("b").isNotNull(), F.col("c"))), F.lit(0)).alias("n"), F.sum("c").alias("total"))
     heavy = (first.agg(F.sum("c")).first()[0] or 0) * share
     up = W.partitionBy("k").orderBy("b").rowsBetween(W.unboundedPreceding, 0)
@@ -60,7 +62,7 @@ def selected(rows: DataFrame, targets: Callable[[DataFrame], DataFrame], which:
         if not cold.isEmpty():
             inside = inside.unionByName(rows.join(cold, ["k", "b"]).where("v between lo and hi"))
         place = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1)).alias("bin")
-        hist = inside.groupBy("k", "b", "lo", "hi", place).agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("least"), F.max("v").alias("most"))
+        hist = inside.groupBy("k", "b", "lo", "hi", place).agg(many, F.min("v").alias("least"), F.max("v").alias("most"))
         up = W.partitionBy("k", "b", "lo", "hi").orderBy("bin").rowsBetween(W.unboundedPreceding, 0)
         finer = hist.withColumn("upto", F.sum("c").over(up))
         hit = open_.join(finer, ["k", "b", "lo", "hi"]).where(reached)
@@ -99,18 +101,19 @@ def _targets(counts: DataFrame, probs: Sequence[float], continuous: bool) -> Dat
     return out.select("*", F.posexplode(F.array(F.floor(place) + 1, F.ceil(place) + 1)).alias("side", "rank"))
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], bins: int = BINS, continuous: bool = False, share: float = HEAVY_SHARE) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], bins: int = BINS, continuous: bool = False, share: float = HEAVY_SHARE, weight: str | None = None) -> DataFrame:
     """Exact quantiles per key: ``*keys, prob, n, value``; the value of rank ``ceil(prob * n)`` among the key's ``n`` values,
     or, if ``continuous``, the interpolated one (so that 0.5 is the median). No key may be named prob, n or value.
 
     Null, NaN and infinite values are left out; a key without values gives no row; a null key is a key of its own. Ties
-    and repeated rows count as often as they occur. Every key is refined by histogram and none is gathered; ``share`` only
+    and repeated rows count as often as they occur, or as ``weight`` says. Every key is refined by histogram and none is gathered; ``share`` only
     says which keys' intervals are broadcast. The shuffle of a pass is at most ``bins`` counts per heavy key, interval and
     task, and the rows in open intervals of the other keys.
     """
     keys = list(keys)
     v = F.col(value).cast("double")
-    rows = df.select(F.struct(*keys).alias("k"), v.alias("v")).where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))).withColumn("b", coarse(F.col("v")))
+    weight = [F.col(weight).alias("w")] if weight else []
+    rows = df.where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))).select(F.struct(*keys).alias("k"), v.alias("v"), *weight).withColumn("b", coarse(F.col("v")))
     out = selected(rows, lambda counts: _targets(counts, probs, continuous), ["prob", "side"], bins, share)
     if continuous:
         place = F.round(F.col("prob") * (F.col("n") - 1), 9)

@@ -16,28 +16,36 @@ PROFILED = ("tenders", "award_outcomes")
 MOST_NULLS, MOST_SHIFT = 0.4, 20.0
 
 
-def bad_price(column: str) -> Column:
+def bad_price(v: Column) -> Column:
     """Not finite, zero or less, 10^14 or more, or seven digits and more that are all nine."""
-    v = F.col(column)
     digits = F.regexp_replace(F.regexp_replace(F.when(F.abs(v) < 1e14, v).cast("decimal(30,4)").cast("string"), r"\.0+$", ""), r"\.", "")
     return F.isnan(v) | (v <= 0) | (v >= 1e14) | F.coalesce(digits.rlike("^9{7,}$"), F.lit(False))
 
 
-def bad_rate(column: str) -> Column:
-    v = F.col(column)
+def bad_rate(v: Column) -> Column:
     return F.isnan(v) | (v < 0) | (v > 100)
 
 
 def _checked() -> list[profile.Checked]:
     tender = F.concat_ws("-", trimmed("bid_notice_no"), trimmed("bid_notice_round"))
     return [
-        *[profile.Checked("tenders", c, bad_price(c), tender, "load_batch") for c in ("estimated_price_krw", "assigned_budget_krw")],
-        profile.Checked("award_outcomes", "award_rate", bad_rate("award_rate"), F.col("award_outcome_id"), "load_batch"),
+        *[profile.Checked("tenders", c, bad_price, tender, "load_batch", 0.0, 1e14, open_low=True) for c in ("estimated_price_krw", "assigned_budget_krw")],
+        profile.Checked("award_outcomes", "award_rate", bad_rate, F.col("award_outcome_id"), "load_batch", 0.0, 100.0),
     ]
 
 
+def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {name: table(spark, sf_dir, name) for name in PROFILED}
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reduce(DataFrame.unionByName, [profile.violations(table(spark, sf_dir, c.table), c, MOST_NULLS, MOST_SHIFT) for c in _checked()])
+    return profile.violations(_tables(spark, sf_dir), _checked(), MOST_NULLS, MOST_SHIFT)
+
+
+def p6_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What gave the wrong values of p6_found away: rows by expression, range and repeated digit."""
+    wrong, _, _ = profile.suspects(_tables(spark, sf_dir), _checked())
+    return wrong.groupBy("column_name", "off_expression", "off_range", "one_digit").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _tagged(df: DataFrame, name: str) -> DataFrame:
@@ -53,23 +61,35 @@ def p6_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct values of every column of the profiled tables per load, under ``table.column``."""
+    parts = []
+    for name, df in _tables(spark, sf_dir).items():
+        counts = profile.value_counts(df, [c for c in df.columns if c != "load_batch"], "load_batch")
+        parts.append(counts.withColumn("column_name", F.concat(F.lit(f"{name}."), "column_name")))
+    return cut(reduce(DataFrame.unionByName, parts))
+
+
+def _split(df: DataFrame) -> DataFrame:
+    both = F.split("column_name", r"\.", 2)
+    return df.select(both[0].alias("table_name"), both[1].alias("column_name"), *[c for c in df.columns if c != "column_name"])
+
+
 def p6_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The induced expression of every column, one row per alternative."""
-    parts = []
-    for name in PROFILED:
-        df = table(spark, sf_dir, name)
-        parts.append(_tagged(profile.patterns(profile.induce(profile.value_counts(df, df.columns))), name))
-    return reduce(DataFrame.unionByName, parts)
+    return _split(profile.patterns(profile.induce(_counts(spark, sf_dir))))
 
 
 def p6_load_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Null rates and expression coverage of every column per load, and their change from the load before."""
-    parts = []
-    for name in PROFILED:
-        df = table(spark, sf_dir, name)
-        counts = cut(profile.value_counts(df, [c for c in df.columns if c != "load_batch"], "load_batch"))
-        parts.append(_tagged(profile.coverage(counts, profile.induce(counts)), name))
-    return reduce(DataFrame.unionByName, parts)
+    counts = _counts(spark, sf_dir)
+    return _split(profile.coverage(counts, profile.expressions(profile.induce(counts))))
+
+
+def p6_load_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, nulls and distinct values of every column per load."""
+    per = F.col("value").isNull()
+    return _split(_counts(spark, sf_dir).groupBy("column_name", "load").agg(F.sum("n").alias("rows"), F.sum(F.when(per, F.col("n")).otherwise(0)).alias("nulls"), F.count("value").alias("distinct_values")))
 
 
 def _sql_found() -> str:
@@ -108,5 +128,12 @@ def _sql_columns() -> str:
     return "\nunion all\n".join(parts)
 
 
-QUERIES = {"p6_found": p6_found, "p6_columns": p6_columns, "p6_patterns": p6_patterns, "p6_load_coverage": p6_load_coverage}
-SQL = {"p6_found": _sql_found(), "p6_columns": _sql_columns()}
+def _sql_load_nulls() -> str:
+    return "\nunion all\n".join(
+        f"select '{t}' as table_name, '{c}' as column_name, load_batch as load, count(*) as rows, count(*) filter ({c} is null) as nulls, count(distinct {c}) as distinct_values from {t} group by load_batch"
+        for t, columns in _COLUMNS.items() for c, _ in (x.split() for x in columns.split(", ")) if c != "load_batch"
+    )
+
+
+QUERIES = {"p6_found": p6_found, "p6_evidence": p6_evidence, "p6_columns": p6_columns, "p6_patterns": p6_patterns, "p6_load_coverage": p6_load_coverage, "p6_load_nulls": p6_load_nulls}
+SQL = {"p6_found": _sql_found(), "p6_columns": _sql_columns(), "p6_load_nulls": _sql_load_nulls()}

@@ -131,17 +131,18 @@ def test_exact_quantiles(spark):
 
 def test_bad_values(spark):
     df = spark.createDataFrame([(v,) for v in (1.0, 0.0, -1.0, float("nan"), float("inf"), 1e14, 999999.0, 9999999.0, 99999.99, 99999.9, None)], "v double")
-    assert [r.x for r in df.select(bad_price("v").alias("x")).collect()] == [False, True, True, True, True, True, False, True, False, False, None]
+    assert [r.x for r in df.select(bad_price(F.col("v")).alias("x")).collect()] == [False, True, True, True, True, True, False, True, False, False, None]
     rates = spark.createDataFrame([(v,) for v in (0.0, 100.0, 100.1, -0.1, float("nan"), None)], "v double")
-    assert [r.x for r in rates.select(bad_rate("v").alias("x")).collect()] == [False, False, True, True, True, None]
+    assert [r.x for r in rates.select(bad_rate(F.col("v")).alias("x")).collect()] == [False, False, True, True, True, None]
 
 
 def test_violations(spark):
     data = [("L1", float(v), f"a{v}") for v in range(100, 110)] + [("L2", float(v) * 1000, f"b{v}") for v in range(100, 110)] + [("L3", None, "c")] * 4 + [("L3", 100.0, f"c{i}") for i in range(6)] + [("L1", -1.0, "bad"), ("L1", -1.0, "bad"), (None, 5.0, "d")] + [("L4", float(v), f"e{v}") for v in range(100, 120)]
     df = spark.createDataFrame(data, "load string, v double, id string")
-    got = P.violations(df, P.Checked("t", "v", F.col("v") <= 0, F.col("id"), "load"), 0.4, 20.0)
+    watched = [P.Checked("t", "v", lambda v: v <= 0, F.col("id"), "load", 0.0, 1e9, open_low=True)]
+    got = P.violations({"t": df}, watched, 0.4, 20.0)
     assert rows(got) == [("t", "v", "bad_value", "bad"), ("t", "v", "load_nulls", "L3"), ("t", "v", "load_shift", "L2")]
-    assert P.violations(df.limit(0), P.Checked("t", "v", F.col("v") <= 0, F.col("id"), "load"), 0.4, 20.0).count() == 0
+    assert P.violations({"t": df.limit(0)}, watched, 0.4, 20.0).count() == 0
 
 
 def test_expressions(spark):
@@ -150,7 +151,7 @@ def test_expressions(spark):
     counts = P.value_counts(df, ["v"], "load")
     induced = P.induce(counts)
     assert ("v", "^[A-Z][0-9]{2}[A-Z]{2}[0-9]{8}$") in {(r.column_name, r.pattern) for r in P.patterns(induced).collect()}
-    got = {r.load: (r.rows, r.nulls, r.conforming, r.nonconforming) for r in P.coverage(counts, induced).collect()}
+    got = {r.load: (r.rows, r.nulls, r.conforming, r.nonconforming) for r in P.coverage(counts, P.expressions(induced)).collect()}
     assert got["L1"] == (202, 1, 200, 1)
     assert P.induce(counts.limit(0)).count() == 0
 
