@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from jangbu.functions.text import compact, trimmed
 from jangbu.llm.survivors import survivors
+from jangbu.session import cut
 
 #: Texts that stand for a missing name (fixed values).
 PLACEHOLDERS = ("", "-", "--", ".", "?", "N/A", "NA", "#N/A", "NAN", "NULL", "NONE", "미상", "미정", "불명", "없음", "해당없음", "알수없음")
@@ -54,24 +55,34 @@ def members(records: DataFrame) -> DataFrame:
     return coded.unionByName(bare.select(*coded.columns))
 
 
-def agency_survivors(records: DataFrame, votes: str = "preference") -> DataFrame:
+#: A month's weight against the month before, and the weight of a record of the feed that counts least.
+MONTHLY, LEAST_TRUST = 3.0, 1e-6
+
+
+def agency_survivors(records: DataFrame, monthly: float = MONTHLY, least_trust: float = LEAST_TRUST) -> DataFrame:
     """``agency, field_name, norm, best`` for every agency with at least two records.
 
-    Trusted feeds come before bidder_report, later months before earlier, smaller record ids before larger.
+    Each record with a proper value votes. Its weight grows by ``monthly`` per month within its agency, so recent wordings
+    lead, yet several records of the months before outvote one of the last, and a wording that nobody else shares in its
+    places loses them. Records of bidder_report weigh ``least_trust`` of the others. Among the records that carry the
+    surviving value those of other feeds come first, then later months, then smaller record ids.
     """
-    rows = members(records)
-    groups = rows.groupBy("agency").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("agency")
+    rows = cut(members(records))
     month = F.regexp_replace(F.coalesce(trimmed("source_month"), F.lit("")), r"[^0-9]", "").try_cast("int")
-    base = rows.join(groups, "agency", "left_semi").select(
+    count = F.coalesce(F.floor(month / 100) * 12 + month % 100, F.lit(0))
+    groups = rows.groupBy("agency").agg(F.count(F.lit(1)).alias("size"), F.max(count).alias("last")).where("size > 1").select("agency", "last")
+    untrusted = F.coalesce(trimmed("source_feed"), F.lit("")) == "bidder_report"
+    base = rows.join(groups, "agency").select(
         "agency",
         "agency_code",
         "agency_name_ko",
         "norm_name",
-        (F.coalesce(trimmed("source_feed"), F.lit("")) == "bidder_report").cast("int").alias("untrusted"),
-        (-F.coalesce(month, F.lit(0))).alias("age"),
+        untrusted.cast("int").alias("untrusted"),
+        (-count).alias("age"),
         "record_id",
+        (F.pow(F.lit(float(monthly)), F.greatest(count - F.col("last"), F.lit(-240))) * F.when(untrusted, least_trust).otherwise(1.0)).alias("weight"),
     )
     codes = base.where(proper_code(F.col("agency_code"))).withColumns({"field_name": F.lit("agency_code"), "norm": F.col("agency_code")})
     names = base.where("norm_name is not null").withColumns({"field_name": F.lit("agency_name_ko"), "norm": F.col("norm_name")})
     prefer = [F.col("untrusted"), F.col("age"), F.col("record_id")]
-    return survivors(codes.unionByName(names), "agency", prefer, votes)
+    return survivors(codes.unionByName(names), "agency", F.col("weight"), prefer)

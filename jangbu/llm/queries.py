@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jangbu.functions.text import WHITE_SPACE, blank_to_null
-from jangbu.llm.agencies import agency_survivors
+from jangbu.llm.agencies import LEAST_TRUST, MONTHLY, agency_survivors
 from jangbu.llm.leakage import leaks, without_leaks
 from jangbu.llm.packing import fill_report, measured, packed
 from jangbu.llm.percentiles import merged, percentiles, summarise
@@ -128,11 +128,17 @@ named as (select norm_name, min(key) as owner from keyed where key is not null a
 members as (select coalesce(k.key, n.owner) as agency, k.* from keyed k left join named n on k.key is null and k.norm_name = n.norm_name),
 grouped as (select *, count(*) over (partition by agency) as size from members where agency is not null),
 fields as (
-  select agency, 'agency_code' as field_name, record_id, source_month, source_feed from grouped where size > 1 and regexp_matches(agency_code, '^([0-9]{{7}}|B[0-9]{{6}})$')
+  select agency, 'agency_code' as field_name, agency_code as v, record_id, source_month, source_feed from grouped where size > 1 and regexp_matches(agency_code, '^([0-9]{{7}}|B[0-9]{{6}})$')
   union all
-  select agency, 'agency_name_ko', record_id, source_month, source_feed from grouped where size > 1 and norm_name is not null),
+  select agency, 'agency_name_ko', norm_name, record_id, source_month, source_feed from grouped where size > 1 and norm_name is not null),
+dated as (select agency, source_month[:4]::integer * 12 + source_month[6:]::integer as m from members where agency is not null),
+last as (select agency, max(m) as last from dated group by 1),
+votes as (
+  select f.agency, field_name, v, round(sum(pow({MONTHLY}, source_month[:4]::integer * 12 + source_month[6:]::integer - last) * case when source_feed = 'bidder_report' then {LEAST_TRUST} else 1 end), 9) as w,
+    min((source_feed = 'bidder_report', -(source_month[:4]::integer * 12 + source_month[6:]::integer), record_id)) as best
+  from fields f join last using (agency) group by 1, 2, 3),
 won as (
-  select *, row_number() over (partition by agency, field_name order by source_feed = 'bidder_report', source_month desc, record_id) as rn from fields)
+  select *, row_number() over (partition by agency, field_name order by w desc, best) as rn, (best)[3] as record_id from votes)
 """
 
 QUERIES = {

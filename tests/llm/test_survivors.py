@@ -7,48 +7,56 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from jangbu.llm.agencies import agency_survivors, members
-from jangbu.llm.survivors import closest, consensus, edit_distance, survivors
+from jangbu.llm.survivors import consensus, merged, survivors, tokens
 from tests.conftest import rows
 
 
 def test_consensus_votes():
-    assert "".join(consensus(["서울시청", "서울시청", "서울 시청", "서을시청"], [1, 1, 1, 1])) == "서울시청"
-    assert "".join(consensus(["abc", "abxc", "abxc"], [1, 1, 1])) == "abxc"
-    assert "".join(consensus(["abxc", "abc", "abc"], [1, 1, 1])) == "abc"
-    assert consensus([], []) == []
+    assert consensus(["서울시청", "서울 시청", "서을시청"], [2, 1, 1]) == "서울시청"
+    assert consensus(["abc 1", "xyz 2", "xyz 1"], [1, 1, 1]) == "xyz 1"
+    assert consensus(["가나다라", "가다라", "가다라"], [1, 1, 1]) == "가다라"
+    assert consensus([], []) == ""
 
 
-@settings(max_examples=80, deadline=None)
-@given(st.lists(st.text("abc", min_size=1, max_size=6), min_size=1, max_size=6, unique=True))
-def test_dominant_weights_give_the_first(values):
-    weights = [1 << (len(values) - 1 - i) for i in range(len(values))]
-    assert closest(values, weights) == 0
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("가나a 1", min_size=1, max_size=8), min_size=1, max_size=5, unique=True), st.integers(0, 4))
+def test_a_majority_decides(values, k):
+    k %= len(values)
+    weights = [1.0] * len(values)
+    weights[k] = 2.0 * len(values)
+    assert consensus(values, weights) == values[k]
 
 
-@settings(max_examples=50, deadline=None)
-@given(st.text("ab", max_size=5), st.text("ab", max_size=5))
-def test_edit_distance(a, b):
-    from functools import cache
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.text("가나다", min_size=1, max_size=6), st.integers(1, 5)), min_size=1, max_size=6))
+def test_no_vote_is_lost(values):
+    whole, seen = merged([([{t: float(w)} for t in tokens(v)], float(w)) for v, w in values])
+    assert seen == sum(w for _, w in values)
+    assert all(abs(sum(cell.values()) - seen) < 1e-9 for cell in whole)
 
-    @cache
-    def d(i, j):
-        return max(i, j) if not min(i, j) else min(d(i - 1, j) + 1, d(i, j - 1) + 1, d(i - 1, j - 1) + (a[i - 1] != b[j - 1]))
 
-    assert edit_distance(a, b) == d(len(a), len(b))
+G = "g string, field_name string, norm string, w double, id long"
 
 
-def test_large_groups_are_reduced_in_chunks(spark):
-    df = spark.range(3000).select(F.lit("g").alias("g"), F.lit("f").alias("field_name"), F.concat(F.lit("value "), F.col("id") % 700).alias("norm"), F.col("id").alias("age"), F.col("id").alias("record_id"))
-    got = survivors(df, "g", [F.col("age"), F.col("record_id")], chunk=8).collect()
-    assert [(r.norm, r.best.record_id) for r in got] == [("value 0", 0)]
-    few = survivors(df.where("id % 3 > 0").unionByName(df.where("id < 5")), "g", [F.col("age")], votes="count", chunk=8)
-    assert few.count() == 1
+def test_the_vote_changes_the_winner(spark):
+    """The heaviest value loses where the others agree against it, and a value that nobody voted most wins by its tokens."""
+    data = [("g", "f", "서울시청 남관", 2.0, 1), ("g", "f", "부산시청 북관", 1.5, 2), ("g", "f", "부산시청 동관", 1.5, 3), ("h", "f", "하나", 1.0, 4), ("h", "f", "둘", 1.0, 5), ("h", "f", "둘", 1.0, 6)]
+    got = {r.g: (r.norm, r.best.id) for r in survivors(spark.createDataFrame(data, G), "g", F.col("w"), [F.col("id")]).collect()}
+    assert got == {"g": ("부산시청 북관", 2), "h": ("둘", 5)}
+
+
+def test_large_groups_are_aligned_in_chunks(spark):
+    df = spark.range(3000).select(F.lit("g").alias("g"), F.lit("f").alias("field_name"), F.concat(F.lit("value "), F.col("id") % 700, F.when(F.col("id") % 3 == 0, " old").otherwise("")).alias("norm"), F.lit(1.0).alias("w"), F.col("id"))
+    df = df.unionByName(spark.range(3000, 9000).select(F.lit("g").alias("g"), F.lit("f").alias("field_name"), F.lit("value 7").alias("norm"), F.lit(1.0).alias("w"), F.col("id")))
+    for chunk in (8, 1000):
+        got = survivors(df, "g", F.col("w"), [F.col("id")], chunk=chunk).collect()
+        assert [(r.norm, r.best.id) for r in got] == [("value 7", 7)]
 
 
 def test_empty_and_blank_candidates(spark):
-    schema = "g string, field_name string, norm string, age int"
-    assert survivors(spark.createDataFrame([], schema), "g", [F.col("age")]).count() == 0
-    assert survivors(spark.createDataFrame([("g", "f", "", 1), ("g", "f", None, 1)], schema), "g", [F.col("age")]).count() == 0
+    assert survivors(spark.createDataFrame([], G), "g", F.col("w"), [F.col("id")]).count() == 0
+    assert survivors(spark.createDataFrame([("g", "f", "", 1.0, 1), ("g", "f", None, 1.0, 2)], G), "g", F.col("w"), [F.col("id")]).count() == 0
+    assert [r.norm for r in survivors(spark.createDataFrame([("g", "f", "a", None, 1), ("g", "f", "b", None, 2)], G), "g", F.col("w"), [F.col("id")]).collect()] == ["a"]
 
 
 A = "record_id long, agency_code string, agency_name_ko string, source_month string, source_feed string, agency string, norm string"
