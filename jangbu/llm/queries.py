@@ -10,8 +10,7 @@ from jangbu.llm.agencies import LEAST_TRUST, MONTHLY, agency_survivors
 from jangbu.llm.leakage import leaks, without_leaks
 from jangbu.llm.packing import fill_report, measured, packed
 from jangbu.llm.percentiles import merged, percentiles, summarise
-from jangbu.llm.pii import pii_found
-from jangbu.llm.surrogates import collisions, entities, redacted
+from jangbu.llm.surrogates import collisions, entities, pii_found, protected, redacted
 from jangbu.session import cut, table
 
 PROBS = (0.05, 0.25, 0.5, 0.75, 0.95)
@@ -79,7 +78,7 @@ DEMO_KEY = b"jangbu demonstration key, not a secret"
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii_found(table(spark, sf_dir, "documents"))
+    return pii_found(table(spark, sf_dir, "documents"), DEMO_KEY)
 
 
 def p9_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +88,12 @@ def p9_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p9_surrogate_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many values there are of each type, and how many surrogates collide or disagree (none)."""
-    return collisions(cut(entities(pii_found(table(spark, sf_dir, "documents")), DEMO_KEY)))
+    return collisions(cut(entities(table(spark, sf_dir, "documents"), DEMO_KEY)))
+
+
+def p9_left_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose redacted texts still hold a found value, or in which two values share a stand-in: no rows."""
+    return protected(table(spark, sf_dir, "documents"), DEMO_KEY, texts=False).where("left <> 0").select("doc_id", "left")
 
 
 _CHARS = " || ".join(f"chr({ord(c)})" for c in WHITE_SPACE)
@@ -153,8 +157,10 @@ QUERIES = {
     "p9_found": p9_found,
     "p9_redacted": p9_redacted,
     "p9_surrogate_checks": p9_surrogate_checks,
+    "p9_left_over": p9_left_over,
 }
 SQL = {
+    "p9_left_over": 'select doc_id, 0::bigint as "left" from documents where false',
     "p1_award_rate_percentiles": _sql_percentiles("business_div_name_ko"),
     "p1_award_rate_by_load": _sql_percentiles("business_div_name_ko, load_batch"),
     "p4_found": _SQL_MEMBERS + "select field_name, record_id from won where rn = 1",

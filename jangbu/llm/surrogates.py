@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import blake2b
 
@@ -18,14 +19,23 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jangbu.llm.pii import FAMILY_LATIN, FAMILY_ONE, FAMILY_TWO, Span, find_pii
+from jangbu.llm.pii import FAMILY_OF, FAMILY_ONE, FAMILY_TWO, GIVEN, LATIN_OF, Span, find_pii
 
-# Given syllables that names are made of, and vowels.
-GIVEN = "가 강 건 겸 경 고 관 교 구 국 규 근 기 길 나 남 다 단 담 대 덕 도 동 두 라 란 람 래 로 름 리 린 마 명 무 문 미 민 배 범 별 병 보 봄 빈 빛 상 새 서 석 선 설 성 세 소 솔 수 숙 순 슬 승 시 식 신 아 안 양 연 열 영 예 오 온 완 용 우 운 울 원 유 윤 율 은 의 이 인 일 자 장 재 전 정 제 조 종 주 준 중 지 진 찬 창 채 철 초 춘 충 치 태 택 평 필 하 한 해 행 향 현 형 혜 호 홍 화 환 훈 휘 희 결 늘 루 누"
+# Vowels and consonants.
 VOWELS, CONSONANTS = "aeiouy", "bcdfghjklmnpqrstvwxz"
+#: Last given syllables by the sex they usually show; a name with another one shows none. Letters of a syllable's initial, vowel
+#: and final as they are romanised. Syllables that place names are made of.
+FEMALE, MALE = "미 희 숙 순 자 아 란 화 혜 나 린 라 은", "호 철 식 훈 석 준 태 구 용 환 규 범 근 건 길 덕 동 남"
+INITIALS = "g kk n d tt r m b pp s ss - j jj ch k t p h"
+MEDIALS = "a ae ya yae eo e yeo ye o wa wae oe yo u wo we wi yu eu ui i"
+FINALS = "- k k k n n n t l k m l l l p l m p p t t ng t t k t p t"
+PLACE_SYLLABLES = "가 강 거 검 경 계 고 곡 곤 공 관 광 구 군 궁 금 기 길 김 나 남 내 노 논 다 단 달 담 당 대 덕 도 동 두 둔 등 라 락 람 랑 량 령 로 룡 류 림 마 만 매 면 명 모 목 무 문 미 박 반 발 방 배 백 벌 범 별 병 보 복 봉 부 북 비 사 산 삼 상 새 서 석 선 성 세 소 속 솔 송 수 순 숭 시 신 심 안 암 압 양 여 연 영 예 오 옥 온 완 왕 용 우 운 울 원 월 위 유 윤 율 은 을 음 의 이 익 인 일 임 자 장 재 전 정 제 조 종 주 죽 중 증 지 진 창 천 철 청 초 촌 춘 충 칠 탄 태 택 토 통 파 판 평 포 풍 하 학 한 함 합 해 향 현 형 호 홍 화 황 회 횡 효 후 흥 희 햇 빛 꽃 달 샘 봄 들 뫼 누 리 루 랑 담 비 슬 늘 름 터 골 여울 벼 람".replace("여울 ", "여 울 ")
 _SYLLABLES = {c: i for i, c in enumerate(GIVEN.split())}
+_SEX = [[c for c in GIVEN.split() if (c in FEMALE.split(), c in MALE.split()) == sex] for sex in ((True, False), (False, True), (False, False))]
+_PLACE_WORDS = {c: i for i, c in enumerate(dict.fromkeys(PLACE_SYLLABLES.split()))}
 #: Syllables of place names, by rule: every initial and simple vowel with the finals that such names have.
-_PLACES = {chr(0xAC00 + (i * 21 + v) * 28 + f): k for k, (i, v, f) in enumerate((i, v, f) for i in range(19) for v in (0, 1, 4, 6, 8, 13, 18, 20) for f in (0, 1, 4, 7, 8, 16, 17, 19, 21, 23, 25, 26))}
+_RARER = [chr(0xAC00 + (i * 21 + v) * 28 + f) for i, v, f in ((i, v, f) for i in range(19) for v in (0, 1, 4, 6, 8, 13, 18, 20) for f in (0, 1, 4, 7, 8, 16, 17, 19, 21, 23, 25, 26))]
+_PLACES = {c: k for k, c in enumerate(dict.fromkeys([*_PLACE_WORDS, *_RARER]))}
 _ROUNDS = 6
 
 
@@ -96,10 +106,9 @@ def canonical(kind: str, text: str) -> str:
         flat = re.sub(r"\s*[\[({]?\s*(?:골뱅이|@|(?<![a-z0-9])at(?![a-z0-9]))\s*[\])}]?\s*", "@", flat.lower(), count=1)
         return re.sub(r"\s*[\[({]?\s*(?<![a-z0-9])(?:dot|점|닷)(?![a-z0-9])\s*[\])}]?\s*", ".", flat)
     if kind == "name" and re.search(r"[A-Za-z]", flat):
-        words = re.findall(r"[A-Za-z-]+", flat)
-        first_is_family = words[0].isupper() or "," in flat or words[-1].capitalize() not in FAMILY_LATIN.split()
-        family, given = (words[0], words[-1]) if first_is_family else (words[-1], words[0])
-        return f"{family.lower()} {given.lower().replace('-', '')}"
+        family, given, _ = _latin_parts(flat)
+        of, syllables = FAMILY_OF.get(family.capitalize()), spelt(given)
+        return of + syllables if of and syllables else f"{family} {given}"
     return re.sub(r"\s+", " " if kind == "address" else "", flat).replace(" ,", ",")
 
 
@@ -127,7 +136,37 @@ def _cased(like: str, letters: str) -> str:
     return "".join((c2.upper() if c.isupper() else c2) if c.isascii() and c.isalpha() and (c2 := next(it)) else c for c in like)
 
 
-def _letters(text: str, key: bytes, tweak: str) -> str:
+def roman(syllable: str) -> str:
+    """A syllable in Latin letters."""
+    code = ord(syllable) - 0xAC00
+    parts = INITIALS.split()[code // 588], MEDIALS.split()[code % 588 // 28], FINALS.split()[code % 28]
+    return "".join(p for p in parts if p != "-")
+
+
+_ROMAN = {roman(c): c for c in reversed(GIVEN.split())}
+
+
+@lru_cache(maxsize=1 << 16)
+def spelt(given: str) -> str:
+    """The two syllables that a romanised given name stands for; nothing if there are none. Of several readings the one with
+    the longest first syllable counts."""
+    for k in range(len(given) - 1, 0, -1):
+        if given[:k] in _ROMAN and given[k:] in _ROMAN:
+            return _ROMAN[given[:k]] + _ROMAN[given[k:]]
+    return ""
+
+
+def _latin_parts(text: str) -> tuple[str, str, bool]:
+    """Family, given name (both in small letters, without hyphens) and whether the family stands first."""
+    words = re.findall(r"[A-Za-z-]+", text)
+    if len(words) == 1:
+        return "", words[0].lower().replace("-", ""), False
+    first = words[0].isupper() or "," in text or words[-1].capitalize() not in FAMILY_OF
+    family, given = (words[0], words[-1]) if first else (words[-1], words[0])
+    return family.lower(), given.lower().replace("-", ""), first
+
+
+def _letters(text: str, key: bytes, tweak: str, valid: Callable[[str], bool] | None = None) -> str:
     """Latin letters and digits permuted in place: vowels stay vowels, consonants consonants, digits digits."""
     flat = text.lower()
     value, radices = [], []
@@ -135,54 +174,88 @@ def _letters(text: str, key: bytes, tweak: str) -> str:
         pool = VOWELS if c in VOWELS else CONSONANTS if c in CONSONANTS else "0123456789"
         value.append(pool.index(c))
         radices.append(len(pool))
-    new = permute(value, radices, key, f"{tweak}|{radices}") if value else []
     pools = {6: VOWELS, 20: CONSONANTS, 10: "0123456789"}
-    return "".join(pools[r][d] for d, r in zip(new, radices, strict=True))
+    shown = lambda v: "".join(pools[r][d] for d, r in zip(v, radices, strict=True))
+    return shown(permute(value, radices, key, f"{tweak}|{radices}", valid and (lambda v: valid(shown(v))))) if value else ""
 
 
-def _hangul(syllables: str, key: bytes, tweak: str, pool: dict[str, int] = _SYLLABLES) -> str:
-    """Syllables permuted among those of ``pool``; a name with another syllable, among all the other names."""
+def _hangul(syllables: str, key: bytes, tweak: str, *pools: dict[str, int]) -> str:
+    """Syllables permuted within the first of ``pools`` that has them all, but for those that an earlier pool has; without
+    such a pool among all other texts."""
     if not all("가" <= c <= "힣" for c in syllables):
         return syllables
-    if all(c in pool for c in syllables):
-        names = list(pool)
-        new = permute([pool[c] for c in syllables], [len(names)] * len(syllables), key, tweak)
-        return "".join(names[d] for d in new)
-    inside = lambda v: not all(chr(0xAC00 + d) in pool for d in v)
-    new = permute([ord(c) - 0xAC00 for c in syllables], [11172] * len(syllables), key, tweak, inside)
-    return "".join(chr(0xAC00 + d) for d in new)
+    everything = {chr(0xAC00 + k): k for k in range(11172)} if not any(all(c in p for c in syllables) for p in pools) else {}
+    earlier: list[dict[str, int]] = []
+    for pool in [*pools, everything]:
+        if pool and all(c in pool for c in syllables):
+            names = list(pool)
+            outside = lambda v: not any(all(names[d] in e for d in v) for e in earlier)  # noqa: E731, B023
+            new = permute([pool[c] for c in syllables], [len(names)] * len(syllables), key, f"{tweak}|{len(earlier)}", outside)
+            return "".join(names[d] for d in new)
+        earlier.append(pool)
+    return syllables
+
+
+def _family(family: str, key: bytes) -> str:
+    """Families stay among those of as many syllables that are, or aren't, usually romanised; unlisted ones among themselves."""
+    twos, ones = FAMILY_TWO.split(), FAMILY_ONE.split()
+    for length, pool in ((1, ones), (2, twos)):
+        for romanised in (True, False):
+            among = [f for f in pool if (f in LATIN_OF) == romanised]
+            if family in among:
+                return among[permute([among.index(family)], [len(among)], key, f"family {length} {romanised}")[0]]
+    unlisted = {c: k for k, c in enumerate(c for c in GIVEN.split() if c not in ones)}
+    return _hangul(family, key, "family", unlisted)
+
+
+def _given(given: str, key: bytes, family: str) -> str:
+    """Given syllables permuted; the last stays among those that show the same sex, and a name that can be read back from
+    Latin letters stays one, so that both spellings of a person get one stand-in."""
+    if not all(c in _SYLLABLES for c in given):
+        return _hangul(given, key, f"given {family}", _SYLLABLES)
+    stable = lambda text: spelt("".join(map(roman, text))) == text
+    sex = next(k for k, pool in enumerate(_SEX) if given[-1] in pool)
+    names, last, same = GIVEN.split(), _SEX[sex], stable(given)
+    shown = lambda v: "".join(names[d] for d in v[:-1]) + last[v[-1]]
+    value, radices = [*[_SYLLABLES[c] for c in given[:-1]], last.index(given[-1])], [*[len(names)] * (len(given) - 1), len(last)]
+    return shown(permute(value, radices, key, f"given {family} {sex} {same} {len(given)}", lambda v: stable(shown(v)) == same))
 
 
 def _name(text: str, key: bytes) -> str:
-    if re.search(r"[A-Za-z]", text):
-        family, given = canonical("name", text).split(" ")
-        families = FAMILY_LATIN.lower().split()
-        new_family = families[permute([families.index(family)], [len(families)], key, "latin family")[0]] if family in families else _letters(family, key, "family")
-        new_given = _letters(re.sub(r"[^a-z]", "", given), key, f"given {family}")
-        words = re.findall(r"[A-Za-z-]+", text)
-        first_is_family = words[0].lower() == family
-        shaped = []
-        for k, w in enumerate(words[:2]):
-            mine = new_family if (k == 0) == first_is_family else new_given
-            parts = mine if "-" not in w else f"{mine[: w.index('-')]}-{mine[w.index('-') :]}"
-            shaped.append(parts.upper() if w.isupper() else parts[:1].upper() + parts[1:])
-        between = text[text.index(words[0]) + len(words[0]) : text.rindex(words[-1])]
-        return shaped[0] + between + shaped[1]
-    flat = re.sub(r"\s", "", text)
-    twos, ones = FAMILY_TWO.split(), FAMILY_ONE.split()
-    long = flat[:2] in twos and len(flat) > 3
-    family, given = (flat[:2], flat[2:]) if long else (flat[:1], flat[1:])
-    pool = twos if long else ones
-    new = pool[permute([pool.index(family)], [len(pool)], key, f"family {long}")[0]] if family in pool else family
-    letters = iter(new + _hangul(given, key, f"given {family}"))
-    return "".join(c if c.isspace() else next(letters) for c in text)
+    if not re.search(r"[A-Za-z]", text):
+        flat = re.sub(r"\s", "", text)
+        long = flat[:2] in FAMILY_TWO.split() and len(flat) > 2
+        family, given = (flat[:2], flat[2:]) if long else (flat[:1], flat[1:])
+        letters = iter(_family(family, key) + (_given(given, key, family) if given else ""))
+        return "".join(c if c.isspace() else next(letters) for c in text)
+    family, given, first = _latin_parts(text)
+    known = FAMILY_OF.get(family.capitalize())
+    if known and (syllables := spelt(given)):
+        of, stand = _family(known, key), _given(syllables, key, known)
+        new_family, new_given = [LATIN_OF[of].lower()], list(map(roman, stand))
+    else:
+        of = LATIN_OF[_family(known, key)].lower() if known else _letters(family, key, "family", lambda x: x.capitalize() not in FAMILY_OF)
+        unread = _letters(given, key, f"given {known or family}", (lambda x: not spelt(x)) if known else None)
+        new_family, new_given = [of], [unread]
+    words = re.findall(r"[A-Za-z-]+", text)
+    shaped = []
+    for k, w in enumerate(words[:1] if len(words) == 1 else (words[0], words[-1])):
+        parts = new_family if family and (k == 0) == first else new_given
+        whole = ("-" if "-" in w and len(parts) > 1 else "").join(parts)
+        if "-" in w and len(parts) == 1:
+            whole = f"{whole[: w.index('-')]}-{whole[w.index('-') :]}"
+        shaped.append(whole.upper() if w.isupper() else whole[:1].upper() + whole[1:])
+    if len(words) == 1:
+        return text.replace(words[0], shaped[0])
+    between = text[text.index(words[0]) + len(words[0]) : text.rindex(words[-1])]
+    return shaped[0] + between + shaped[1]
 
 
 def _address(text: str, key: bytes) -> str:
     """Place names and numbers permuted; the words for what they are (city, road, floor and the like) stay."""
 
     def place(m: re.Match[str]) -> str:
-        return _hangul(m.group(1), key, f"place {m.group(2)}", _PLACES) + m.group(2) if re.search(r"[가-힣]", m.group(1)) else _cased(m.group(1), _letters(m.group(1), key, f"place {m.group(2)}")) + m.group(2)
+        return _hangul(m.group(1), key, f"place {m.group(2)}", _PLACE_WORDS, _PLACES) + m.group(2) if re.search(r"[가-힣]", m.group(1)) else _cased(m.group(1), _letters(m.group(1), key, f"place {m.group(2)}")) + m.group(2)
 
     def number(m: re.Match[str]) -> str:
         n = m.group()
@@ -228,51 +301,131 @@ def surrogate(kind: str, text: str, key: bytes) -> str:
 PLACEHOLDER = {"name": "[NAME]", "email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID_NUMBER]", "address": "[ADDRESS]"}
 
 
-def replaced(text: str, spans: Sequence[Span], key: bytes) -> tuple[str, str]:
-    """The text with typed placeholders, numbered per document so that mentions of one value agree, and with surrogates."""
+#: What stands behind a name of two syllables where it isn't the beginning of a longer word.
+_PARTICLE = r"(?![가-힣])|(?=(?:에게|에|은|는|이|가|을|를|의|께|과|와|도|님|씨|로|만|측|및|이며|이고|입니다|이다|한테|께서|라고|이라고)(?![가-힣]))"
+
+
+def _again(kind: str, value: str) -> re.Pattern[str]:
+    """Where a found value stands again, whatever is around it there."""
+    bare = re.escape(value)
+    if kind == "name" and "가" <= value[0] <= "힣":
+        return re.compile(rf"(?<![가-힣]){bare}" + ("" if len(re.sub(r"\s", "", value)) > 2 else f"(?:{_PARTICLE})"))
+    if kind == "name":
+        return re.compile(rf"(?<![A-Za-z]){bare}(?![A-Za-z])")
+    return re.compile(rf"(?<![0-9A-Za-z]){bare}(?![0-9A-Za-z])")
+
+
+def mentions(text: str, spans: Sequence[Span]) -> list[Span]:
+    """The spans and every further place where one of their values stands."""
+    values: dict[tuple[str, str], int] = {}
+    for s in spans:
+        values[s.kind, text[s.start : s.end]] = values.get((s.kind, text[s.start : s.end]), 0) + 1
+    more = []
+    for (kind, value), n in sorted(values.items(), key=lambda x: -len(x[0][1])):
+        if text.count(value) > n:
+            for m in _again(kind, value).finditer(text):
+                if all(m.end() <= s.start or m.start() >= s.end for s in (*spans, *more)):
+                    more.append(Span(m.start(), m.end(), kind))
+    return sorted([*spans, *more], key=lambda s: s.start)
+
+
+@dataclass(frozen=True)
+class Protected:
+    """A text's values with their stand-ins, the text with placeholders and with stand-ins, the places replaced, and how many
+    values still stand in either text or share a stand-in (none)."""
+
+    values: list[tuple[str, str, str]]
+    placeholders: str
+    surrogates: str
+    places: int
+    left: int
+
+
+def protect(text: str, key: bytes) -> Protected:
+    """Finds the values, gives each its stand-in, replaces every mention and checks the outcome.
+
+    Placeholders are numbered per text so that mentions of one value agree. A stand-in that happens to be another value of
+    the text, or that of another meaning in it, is drawn again under a derived key.
+    """
+    spans = mentions(text, find_pii(text))
+    if not spans:
+        return Protected([], text, text, 0, 0)
+    meaning = {(s.kind, v): canonical(s.kind, v) for s in spans for v in [text[s.start : s.end]]}
+    own = {(k, m) for (k, _), m in meaning.items()}
+    taken: dict[tuple[str, str], str] = {}
+    stand: dict[tuple[str, str], str] = {}
+    for (kind, value), m in meaning.items():
+        for k in range(100):
+            new = surrogate(kind, value, key if not k else blake2b(key + bytes([k]), digest_size=32).digest())
+            c = canonical(kind, new)
+            if (kind, c) not in own and taken.setdefault((kind, c), m) == m and new not in text:
+                break
+        stand[kind, value] = new
     numbers: dict[tuple[str, str], int] = {}
+    count: dict[str, int] = {}
     marked, stood, at = [], [], 0
     for s in spans:
-        value = text[s.start : s.end]
-        known = (s.kind, canonical(s.kind, value))
-        n = numbers.setdefault(known, 1 + sum(k == s.kind for k, _ in numbers))
-        marked += [text[at : s.start], f"{PLACEHOLDER[s.kind][:-1]}_{n}]"]
-        stood += [text[at : s.start], surrogate(s.kind, value, key)]
+        known = (s.kind, text[s.start : s.end])
+        of = (s.kind, meaning[known])
+        if of not in numbers:
+            numbers[of] = count[s.kind] = count.get(s.kind, 0) + 1
+        marked += [text[at : s.start], f"{PLACEHOLDER[s.kind][:-1]}_{numbers[of]}]"]
+        stood += [text[at : s.start], stand[known]]
         at = s.end
-    return "".join([*marked, text[at:]]), "".join([*stood, text[at:]])
+    a, b = "".join([*marked, text[at:]]), "".join([*stood, text[at:]])
+    left = sum(bool(v in out and _again(k, v).search(out)) for k, v in meaning for out in (a, b))
+    left += len({(k, meaning[k, v]) for k, v in stand}) - len({(k, canonical(k, x)) for (k, _), x in stand.items()})
+    return Protected([(k, v, x) for (k, v), x in stand.items()], a, b, len(spans), left)
 
 
-def redacted(docs: DataFrame, key: bytes, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, placeholder_text, surrogate_text, replacements`` for every row; a null text stays null, a text without
-    personal information stays as it is."""
+def protected(docs: DataFrame, key: bytes, doc_id: str = "doc_id", text: str = "text", texts: bool = True) -> DataFrame:
+    """``doc_id, found, placeholder_text, surrogate_text, replacements, left`` for every row; ``found`` has each value once, with
+    ``pii_type``, ``pii_text`` exactly as it stands and ``stand_in``.
+
+    A null text stays null; a text without personal information stays as it is. Masked values, and numbers whose label names
+    a firm, product, file or notice, are none. Without ``texts`` both are null. No shuffle; whole texts are scanned where
+    they lie.
+    """
 
     def rewrite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            a, b, n = [], [], []
-            for t in pdf[text]:
-                spans = find_pii(t) if isinstance(t, str) else []
-                x, y = replaced(t, spans, key) if spans else (t, t)
-                a.append(x)
-                b.append(y)
-                n.append(len(spans))
-            yield pd.DataFrame({"doc_id": pdf[doc_id], "placeholder_text": pd.Series(a, dtype=object, index=pdf.index), "surrogate_text": pd.Series(b, dtype=object, index=pdf.index), "replacements": n})
+            done = [protect(t, key) if isinstance(t, str) else None for t in pdf[text]]
+            column = lambda f, done=done, pdf=pdf: pd.Series([None if p is None else f(p) for p in done], dtype=object, index=pdf.index)
+            yield pd.DataFrame({
+                "doc_id": pdf[doc_id],
+                "found": column(lambda p: [{"pii_type": k, "pii_text": v, "stand_in": x} for k, v, x in p.values]),
+                "placeholder_text": column(lambda p: p.placeholders if texts else None),
+                "surrogate_text": column(lambda p: p.surrogates if texts else None),
+                "replacements": pd.Series([p.places if p else 0 for p in done], dtype="int64", index=pdf.index),
+                "left": pd.Series([p.left if p else 0 for p in done], dtype="int64", index=pdf.index),
+            })
+
+    kind = "doc_id long, found array<struct<pii_type string, pii_text string, stand_in string>>, placeholder_text string, surrogate_text string, replacements long, left long"
+    return docs.select(doc_id, text).mapInPandas(rewrite, kind)
+
 
-    return docs.select(doc_id, text).mapInPandas(rewrite, "doc_id long, placeholder_text string, surrogate_text string, replacements long")
+def pii_found(docs: DataFrame, key: bytes, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, pii_type, pii_text``: each value that ``protected`` replaces, once per document row."""
+    return protected(docs, key, doc_id, text, texts=False).select("doc_id", F.explode("found").alias("x")).select("doc_id", "x.pii_type", "x.pii_text")
+
+
+def redacted(docs: DataFrame, key: bytes, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, placeholder_text, surrogate_text, replacements`` of ``protected``."""
+    return protected(docs, key, doc_id, text).select("doc_id", "placeholder_text", "surrogate_text", "replacements")
 
 
-def entities(found: DataFrame, key: bytes) -> DataFrame:
-    """Distinct values of ``pii_found`` with ``meaning``, their spelling-free form, and ``stand_in``, their surrogate's."""
+def entities(docs: DataFrame, key: bytes) -> DataFrame:
+    """Distinct values of all texts with ``meaning``, their spelling-free form, and ``stand_in``, that of their surrogate."""
 
     def name(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            stand = [surrogate(k, t, key) for k, t in zip(pdf.pii_type, pdf.pii_text, strict=True)]
             yield pd.DataFrame({
                 "pii_type": pdf.pii_type,
                 "meaning": [canonical(k, t) for k, t in zip(pdf.pii_type, pdf.pii_text, strict=True)],
-                "stand_in": [canonical(k, t) for k, t in zip(pdf.pii_type, stand, strict=True)],
+                "stand_in": [canonical(k, surrogate(k, t, key)) for k, t in zip(pdf.pii_type, pdf.pii_text, strict=True)],
             })
 
-    return found.select("pii_type", "pii_text").distinct().mapInPandas(name, "pii_type string, meaning string, stand_in string").distinct()
+    return pii_found(docs, key).select("pii_type", "pii_text").distinct().mapInPandas(name, "pii_type string, meaning string, stand_in string").distinct()
 
 
 def collisions(named: DataFrame) -> DataFrame:

@@ -6,8 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from jangbu.llm.pii import find_pii, pii_found
-from jangbu.llm.surrogates import canonical, collisions, entities, permute, redacted, replaced, surrogate
+from jangbu.llm.surrogates import FEMALE, GIVEN, MALE, canonical, collisions, entities, mentions, permute, pii_found, protect, protected, redacted, roman, spelt, surrogate
 from tests.conftest import rows
 
 KEY = b"0123456789abcdef"
@@ -58,15 +57,48 @@ def test_places_keep_their_kind():
 
 def test_replacing():
     t = "담당자 김새봄 / a@b.example / 010-1234-5678. 김새봄 팀장은 010.1234.5678로. 이누리 과장"
-    marked, stood = replaced(t, find_pii(t), KEY)
+    p = protect(t, KEY)
+    marked, stood = p.placeholders, p.surrogates
     assert marked == "담당자 [NAME_1] / [EMAIL_1] / [PHONE_1]. [NAME_1] 팀장은 [PHONE_1]로. [NAME_2] 과장"
     assert "김새봄" not in stood and "1234" not in stood and stood.startswith("담당자 ") and stood.endswith(" 과장")
 
 
+def test_every_mention_is_replaced():
+    t = "연락처는 김새봄 과장(010-1234-5678)입니다. 김새봄에게 보내십시오. Questions go to Kim Saebom at a@b.example; 허준 과장. 허준은 왔다. 허준호텔"
+    p = protect(t, KEY)
+    assert p.left == 0 and p.places == 7 and "김새봄" not in p.surrogates and "Saebom" not in p.surrogates and p.surrogates.endswith("호텔") and p.placeholders.endswith("허준호텔")
+    assert p.placeholders.count("[NAME_1]") == 3 and p.placeholders.count("[NAME_2]") == 2
+    stand = {v: x for _, v, x in p.values}
+    assert canonical("name", stand["김새봄"]) == canonical("name", stand["Kim Saebom"])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("김이박 가나준영Kim.@-0123456789과장", max_size=14), max_size=8))
+def test_no_value_stays(parts):
+    p = protect("담당자 김새봄 / " + " 담당자: ".join(parts) + " 과장", KEY)
+    assert p.left == 0
+
+
+def test_people_keep_sex_and_script():
+    names = ["".join(x) for x in product(GIVEN.split()[::7], GIVEN.split()[::3])]
+    new = [surrogate("name", "김" + n, KEY)[1:] for n in names]
+    assert len(set(new)) == len(names)
+    for a, b in zip(names, new, strict=True):
+        assert (a[-1] in FEMALE.split(), a[-1] in MALE.split()) == (b[-1] in FEMALE.split(), b[-1] in MALE.split())
+    both = [n for n in names if spelt("".join(map(roman, n))) == n]
+    assert both and all(canonical("name", surrogate("name", "Kim " + "".join(map(roman, n)).capitalize(), KEY)) == surrogate("name", "김" + n, KEY) for n in both)
+
+
+@pytest.mark.parametrize("name", ["Maria Gonzalez", "Cher", "뇌영수", "김뷁뷁", "허준", "독고영", "KIM X"])
+def test_odd_names_get_one_too(name):
+    assert surrogate("name", name, KEY) != name and mentions("", []) == []
+
+
 def test_operators(spark):
     data = [(1, "담당자 김새봄 / a@b.example / 010-1234-5678"), (2, None), (3, ""), (4, "그대로"), (5, "작성자: 김 새 봄 | 연락처: +82-10-1234-5678")]
     df = spark.createDataFrame(data, "doc_id long, text string")
     out = {r.doc_id: r for r in redacted(df, KEY).collect()}
     assert out[1].replacements == 3 and out[2].placeholder_text is None and out[3].surrogate_text == "" and out[4].surrogate_text == "그대로"
-    checked = rows(collisions(entities(pii_found(df), KEY)))
+    assert all(r.left == 0 for r in protected(df, KEY).collect()) and pii_found(df, KEY).count() == 5
+    checked = rows(collisions(entities(df, KEY)))
     assert checked == [("email", 1, 0, 0), ("name", 1, 0, 0), ("phone", 1, 0, 0)]
