@@ -30,7 +30,7 @@ BLOCK_BYTES = 16_000_000
 #: Characters that one array pass takes.
 SLICE = 1_000_000
 
-_TAG = re.compile(r"<[^<>]{0,400}>")
+_TAG = re.compile(r"<(?=[A-Za-z/!?])[^<>]*>")
 #: What html.unescape takes for a character reference.
 _REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -89,12 +89,14 @@ class Items:
     owner: np.ndarray = field(default_factory=lambda: np.empty(0, np.int32))
     place: np.ndarray = field(default_factory=lambda: np.empty(0, np.int32))
     bits: np.ndarray = field(default_factory=lambda: np.zeros(1 << 22, bool))
+    short: dict[str, list[int]] = field(default_factory=dict)
 
 
 def prepare(rows: list[tuple[object, str]], share: float, size: int = GRAM) -> Items:
     """``needed``: words of a leak. N-grams that one item alone has are enough to tell it, unless too few are left in some
     part of it. ``hits``: the n-gram hits that every leak of an item makes at least, whatever part of
-    the item it is, with one mistyped place per ``WORDS_PER_TYPO`` words; so asking for them loses none."""
+    the item it is, with one mistyped place per ``WORDS_PER_TYPO`` words; so asking for them loses none. ``short``: runs of the
+    needed words that have fewer letters than an n-gram; they are looked up whole, as words."""
     out = Items()
     every: list[tuple[np.ndarray, int]] = []
     for item, text in rows:
@@ -106,8 +108,13 @@ def prepare(rows: list[tuple[object, str]], share: float, size: int = GRAM) -> I
         out.texts.append("".join(words))
         out.words.append([(int(e) - len(w), int(e)) for w, e in zip(words, ends, strict=True)])
         out.needed.append(max(1, int(np.ceil(len(words) * share))))
+        n = out.needed[-1]
+        for k in range(len(words) - n + 1):
+            if sum(map(len, words[k : k + n])) < size:
+                out.short.setdefault(f" {' '.join(words[k : k + n])} ", []).append(len(out.ids) - 1)
         every.append((grams(codes(out.texts[-1]), size), len(out.ids) - 1))
     if not sum(len(e) for e, _ in every):
+        out.hits = [1] * len(out.ids)
         return out
     h = np.concatenate([e for e, _ in every])
     owner = np.concatenate([np.full(len(e), i, np.int32) for e, i in every])
@@ -190,6 +197,18 @@ def scan(ids: list, texts: list[str], items: Items, size: int = GRAM) -> Iterato
     """(doc id, item index, run start, run end, letters) for every leak in the texts; starts and ends count letters."""
     alnum = _alnum()
     folded = [fold(t) + "\n" for t in texts]
+    brief: set[tuple[int, int]] = set()
+    if items.short:
+        for d, t in enumerate(folded):
+            words = f" {' '.join(w for w in (''.join(c for c in x if c.isalnum()) for x in t.split()) if w)} "
+            for run, of in items.short.items():
+                at = words.find(run)
+                while at >= 0:
+                    a = len(words[:at].replace(" ", ""))
+                    for i in of:
+                        brief.add((d, i))
+                        yield ids[d], i, a, a + len(run.replace(" ", "")), words.replace(" ", "")
+                    at = words.find(run, at + 1)
     start = 0
     while start < len(folded):
         stop, chars = start, 0
@@ -220,24 +239,25 @@ def scan(ids: list, texts: list[str], items: Items, size: int = GRAM) -> Iterato
                 low, high = bounds[d - start], bounds[d - start + 1]
                 doc = c[low:high].tobytes().decode("utf-32-le", "surrogatepass")
                 covered, a, b = longest_run(doc, items.texts[i], items.words[i], [(p - low, q) for p, q in anchors], size)
-                if covered >= items.needed[i]:
+                if covered >= items.needed[i] and (d, i) not in brief:
                     yield ids[d], i, a, b, doc
         start = stop
 
 
-def _blocks(items: DataFrame, id_column: str, text_column: str) -> list[list[tuple[tuple[int, ...], str]]]:
-    """The items in blocks of bounded size, read one block at a time from the cluster; each text once, with all its ids."""
+def _blocks(items: DataFrame, id_column: str, text_column: str) -> Iterator[list[tuple[tuple[int, ...], str]]]:
+    """The items in blocks of bounded size, of which the driver holds one at a time; each text once, with all its ids."""
     texts = items.where(F.col(text_column).isNotNull()).groupBy(text_column).agg(F.array_sort(F.collect_set(id_column)).alias("ids"))
-    blocks: list[list[tuple[tuple[int, ...], str]]] = [[]]
+    block: list[tuple[tuple[int, ...], str]] = []
     held = 0
     for r in texts.toLocalIterator():
         bytes_ = 4 * len(r[0])
         if held and held + bytes_ > BLOCK_BYTES:
-            blocks.append([])
-            held = 0
-        blocks[-1].append((tuple(r.ids), r[0]))
+            yield block
+            block, held = [], 0
+        block.append((tuple(r.ids), r[0]))
         held += bytes_
-    return [b for b in blocks if b]
+    if block:
+        yield block
 
 
 def leaks(docs: DataFrame, items: DataFrame, share: float = 0.5, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
@@ -255,7 +275,9 @@ def leaks(docs: DataFrame, items: DataFrame, share: float = 0.5, doc_id: str = "
         def find(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 rows = pdf[pdf[text].notna()]
-                found = [(d, item) for d, i, *_ in scan(list(rows[doc_id]), list(rows[text]), shared.value) for item in shared.value.ids[i]]
+                found = list(dict.fromkeys((k, item) for k, i, *_ in scan(range(len(rows)), list(rows[text]), shared.value) for item in shared.value.ids[i]))
+                own = list(rows[doc_id])
+                found = [(own[k], item) for k, item in found]
                 yield pd.DataFrame({"doc_id": [d for d, _ in found], "item_id": [i for _, i in found]}, dtype="int64")
 
         parts.append(docs.select(doc_id, text).mapInPandas(find, "doc_id long, item_id long"))
@@ -280,7 +302,11 @@ def _unescaped(text: str) -> tuple[str, list[int]]:
 
 
 def _letter_places(text: str) -> list[int]:
-    """For each letter of the folded text, the place in ``text`` it comes from (for the few texts that leak). The steps are
+    return _placed_letters(text)[1]
+
+
+def _placed_letters(text: str) -> tuple[str, list[int]]:
+    """The letters of the folded text and, for each, the place in ``text`` it comes from (for the few texts that leak). The steps are
     those of ``fold``: references are resolved before tags are dropped, then characters that compose are taken together."""
     text, at = _unescaped(text)
     plain, source, last = [], [], 0
@@ -291,14 +317,16 @@ def _letter_places(text: str) -> list[int]:
     plain, source = "".join([*plain, text[last:]]), source + at[last:]
     form = lambda x: unicodedata.normalize("NFKC", x)
     places: list[int] = []
+    shown: list[str] = []
     i = 0
     while i < len(plain):
         j = i + 1
         while j < len(plain) and not plain[j].isascii() and not "가" <= plain[j] <= "힣" and (unicodedata.combining(form(plain[j])[0]) or form(plain[i : j + 1]) != form(plain[i:j]) + form(plain[j])):
             j += 1
-        places += [source[i]] * sum(c.isalnum() for c in form(plain[i:j]).casefold())
+        shown += [c for c in form(plain[i:j]).casefold() if c.isalnum()]
+        places += [source[i]] * (len(shown) - len(places))
         i = j
-    return places
+    return "".join(shown), places
 
 
 def _cut(text: str, total: int, spans: list[tuple[int, int]], most: float) -> tuple[str | None, float]:
@@ -306,9 +334,15 @@ def _cut(text: str, total: int, spans: list[tuple[int, int]], most: float) -> tu
     covered = np.zeros(total, bool)
     for a, b in spans:
         covered[a:b] = True
-    gone, places = float(covered.mean()), _letter_places(text)
-    if gone > most or len(places) != total:
+    gone, (found, places) = float(covered.mean()), _placed_letters(text)
+    if gone > most:
         return None, gone
+    if len(places) != total:  # letters that compose in another order: the spans are looked up where they stand
+        whole = letters(text)
+        moved = [(found.find(whole[a:b]), b - a) for a, b in spans]
+        if any(at < 0 or at + n > len(places) for at, n in moved):
+            return None, gone
+        return _cut(text, len(places), [(at, at + n) for at, n in moved], 1.0)[0], gone
     edges = np.flatnonzero(np.diff(np.r_[False, covered, False].astype(np.int8)))
     out, last = [], 0
     for a, b in edges.reshape(-1, 2):
@@ -325,11 +359,11 @@ def without_leaks(docs: DataFrame, items: DataFrame, share: float = 0.5, most: f
     without leaks stays as it is. One block of items is cut in one pass without a shuffle; of more blocks each is a pass
     that finds spans, which come together by the text's hash, and their union is cut.
     """
-    blocks = _blocks(items, item_id, text)
     context = docs.sparkSession.sparkContext
+    blocks = [context.broadcast(prepare(b, share)) for b in _blocks(items, item_id, text)]
     if len(blocks) > 1:
-        return _without_blocks(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), [context.broadcast(prepare(b, share)) for b in blocks], most)
-    shared = context.broadcast(prepare(blocks[0] if blocks else [], share))
+        return _without_blocks(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), blocks, most)
+    shared = blocks[0] if blocks else context.broadcast(prepare([], share))
 
     def cut_spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

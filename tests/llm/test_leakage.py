@@ -131,7 +131,23 @@ def test_cutting_for_many_blocks_is_as_for_one(spark, monkeypatch):
     items = spark.createDataFrame([(i, t, "z") for i, t in ITEMS] + [(103, ITEMS[2][1], "repeat")], E)
     one = rows(without_leaks(docs, items))
     monkeypatch.setattr(leakage, "BLOCK_BYTES", 4 * max(len(t) for _, t in ITEMS))
-    assert len(leakage._blocks(items, "item_id", "text")) > 5
+    assert len(list(leakage._blocks(items, "item_id", "text"))) > 5
     many = rows(without_leaks(docs, items))
     assert many == one
     assert {r[0]: r[2] for r in many if r[1] and r[1].endswith("끝")} == {1: 3} and len(many) == 6
+
+
+def test_items_shorter_than_an_n_gram(spark):
+    items = spark.createDataFrame([(1, "가나 다"), (2, "a long item with many words in it, indeed")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "앞말, 가나 다 뒷말"), (2, "앞가나다뒤"), (3, "<b>가나</b> 뒤"), (4, None), (5, "x " + "a long item with many words")], "doc_id long, text string")
+    assert rows(leaks(docs, items)) == [(1, 1), (3, 1), (5, 2)]
+    out = {r.doc_id: r for r in without_leaks(docs, items, most=0.9).collect()}
+    assert "가나" not in out[1].text and "뒷말" in out[1].text and out[1].items == 1 and out[2].text == "앞가나다뒤" and out[4].text is None
+
+
+def test_long_mark_up_and_less_than_signs(spark):
+    item = "the quick brown fox jumps over the lazy dog near the old river bank"
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    half = item.split(" over ")
+    docs = spark.createDataFrame([(1, f"{half[0]} <a title='{'x' * 3000}'>over {half[1]}"), (2, f"if n < 5 {item} > 3")], "doc_id long, text string")
+    assert rows(leaks(docs, items)) == [(1, 1), (2, 1)]
