@@ -71,7 +71,10 @@ def build(spark: SparkSession, a: argparse.Namespace) -> int:
         rows = normalized(records, metas, feed)
         parts = sinks.write_partitioned(rows, f"{a.out}/{feed}", force=a.force)
         columns = sorted({f for r in records.select(F.map_keys("record").alias("k")).distinct().collect() for f in r.k})
-        reports.append({"feed": feed, "raw_files": len(files), "partitions_written": parts, "rows_before": records.count(), "rows_after": rows.count(), "columns_seen": columns})
+        after, written = rows.count(), sinks.rows_of(spark, f"{a.out}/{feed}", [Path(f).name for f in files])
+        if written != after:
+            raise ValueError(f"{feed}: {written} rows written of {after}; files that changed since they were built need --force")
+        reports.append({"feed": feed, "raw_files": len(files), "partitions_written": parts, "rows_before": records.count(), "rows_after": written, "columns_seen": columns} | sinks.sizes(files, f"{a.out}/{feed}", spark))
     sinks.write_json(f"{a.out}/build_report.json", reports)
     return 0
 

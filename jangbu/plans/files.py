@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from jangbu.functions.text import day
 from jangbu.operators.normalize import normalized
 from jangbu.plans.references import sql_day
-from jangbu.session import table
+from jangbu.session import cut, shared_dir, table
 from jangbu.sources.envelope import from_json_envelope, from_xml_envelope
+from jangbu.sources.sinks import write_partitioned
 from jangbu.sources.windows import fixed_windows, month_windows, plan
 
 FIRST, LAST = date(2025, 9, 1), date(2026, 8, 31)
@@ -34,15 +36,30 @@ def stream_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixed_windows(spans, 7).select("stream_code", F.col("window_start").cast("string").alias("window_start"), F.col("window_end").cast("string").alias("window_end"))
 
 
-def normalized_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw contract lines under the feed's own names, typed, the last line of each contract in each file."""
+def _contract_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "contract_files")
     records = lines.select(F.col("file_name").alias("file"), F.col("line_no").cast("long").alias("pos"), F.from_json("payload", "map<string,string>").alias("record")).where("record is not null")
     metas = lines.groupBy(F.col("file_name").alias("file")).agg(F.create_map(F.lit("window_start"), F.min("window_start"), F.lit("window_end"), F.min("window_end")).alias("meta"))
-    rows = normalized(records, metas, "contracts")
+    return normalized(records, metas, "contracts")
+
+
+def normalized_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw contract lines under the feed's own names, typed, the last line of each contract in each file."""
+    rows = _contract_feed(spark, sf_dir)
     return rows.select("_source_file", "unified_contract_no", F.date_format("contract_date", "yyyy-MM-dd").alias("contract_date"), "contract_amount_krw", "total_contract_amount_krw", "is_joint_contract", "_window_start", "year", "month")
 
 
+def built_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed table after three builds whose files share months: one half of the files, all of them, the first half again
+    by force; read back from disk, rows and amounts per file and month."""
+    path = f"{shared_dir(spark).rstrip('/')}/jangbu-built-{uuid4().hex}"
+    rows = cut(_contract_feed(spark, sf_dir).select("_source_file", "unified_contract_no", "contract_amount_krw", "year", "month"))
+    half = F.pmod(F.crc32("_source_file"), F.lit(2)) == 0
+    for part, force in ((rows.where(half), False), (rows, False), (rows.where(half), True)):
+        write_partitioned(part, path, force=force)
+    return spark.read.parquet(path).groupBy("_source_file", F.col("year").cast("string").alias("year"), F.lpad(F.col("month").cast("string"), 2, "0").alias("month")).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("unified_contract_no").alias("contracts"), F.count("contract_amount_krw").alias("amounts"))
+
+
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as the source would answer: the lines of a file in an envelope."""
     lines = table(spark, sf_dir, "contract_files")
@@ -77,7 +94,7 @@ def _sql_number(text: str) -> str:
 
 
 _SQL_MOMENT = "coalesce(" + ", ".join(f"case when length(d) = {n} then try_strptime(d, '{f}') end" for n, f in ((10, "%Y-%m-%d"), (8, "%Y%m%d"), (10, "%Y/%m/%d"), (10, "%Y.%m.%d"))) + ")"
-QUERIES = {f.__name__: f for f in (collection_plan, agency_months, stream_weeks, normalized_contracts, json_envelopes, xml_envelopes)}
+QUERIES = {f.__name__: f for f in (collection_plan, agency_months, stream_weeks, normalized_contracts, built_contracts, json_envelopes, xml_envelopes)}
 SQL = {
     "collection_plan": f"""
 with m as (select greatest(x::date, date '{FIRST}') as a, least((x + interval 1 month - interval 1 day)::date, date '{LAST}') as b from generate_series(timestamp '2025-09-01', timestamp '2026-08-01', interval 1 month) t(x)),
@@ -110,3 +127,4 @@ select file_name as _source_file, no as unified_contract_no, strftime(ts, '%Y-%m
     "json_envelopes": _FIRST_LINE.replace("{message}", ", 'OK' as message"),
     "xml_envelopes": _FIRST_LINE.replace("{message}", ""),
 }
+SQL["built_contracts"] = f"select _source_file, year, month, count(*) as rows, count(distinct unified_contract_no) as contracts, count(contract_amount_krw) as amounts from ({SQL['normalized_contracts']}) group by all"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from pathlib import Path
 
@@ -21,6 +23,7 @@ def build_session(app: str = "jangbu", master: str | None = None, **conf: str) -
         "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.parquet.compression.codec": "zstd",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     } | {k.replace("__", "."): v for k, v in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -28,16 +31,21 @@ def build_session(app: str = "jangbu", master: str | None = None, **conf: str) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a machine-local one is made only where the session names none."""
+    """The folder all executors share: ``spark.checkpoint.dir``, else the context's checkpoint folder. Only a local master,
+    whose executors are this machine, gets a temporary one, which goes when the process ends; elsewhere it must be named."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    local = Path(tempfile.mkdtemp(prefix="jangbu-")).as_uri()
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    local = tempfile.mkdtemp(prefix="jangbu-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(Path(local).as_uri())
+    return Path(local).as_uri()
 
 
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:

@@ -8,31 +8,86 @@ import os
 import re
 import shutil
 import tempfile
+from collections.abc import Sequence
 from pathlib import Path
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jangbu.functions.identity import content_hash
 
 
-def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...] = ("year", "month"), force: bool = False) -> int:
-    """Hive partitions; those that are there already stay unless ``force``, which replaces just the ones written. The
-    number of partitions written. Rows are spread by partition key and by hash, so one big month is many files."""
-    spark = df.sparkSession
-    try:
-        there = spark.read.option("basePath", path).parquet(path).select(*[F.col(c).cast("string") for c in by]).distinct()
-        new = df if force else df.join(F.broadcast(there), list(by), "left_anti")
-    except Exception as e:  # no such folder yet
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        new = df
-    parts = new.select(*by).distinct().count()
-    if parts:
-        mode = "overwrite" if force else "append"
-        new.write.option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*by).mode(mode).parquet(path)
-    return parts
+#: Column of the source file in a partitioned table's folders.
+SOURCE = "source"
+
+
+def _folders(df_or_spark: DataFrame | SparkSession, path: str, depth: int) -> tuple[object, list[object]]:
+    """The file system of ``path`` and its folders so many levels down; none if it isn't there."""
+    spark = df_or_spark.sparkSession if isinstance(df_or_spark, DataFrame) else df_or_spark
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "/".join(["*=*"] * depth)))
+    return fs, [s.getPath() for s in found or []]
+
+
+def _values(folder: object, depth: int) -> tuple[str, ...]:
+    return tuple(unquote(part.partition("=")[2]) for part in folder.toString().rstrip("/").split("/")[-depth:])
+
+
+def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...] = ("year", "month"), source: str = "_source_file", force: bool = False) -> int:
+    """Hive partitions by ``by`` and, below, by the file a row came from; the number of partitions written.
+
+    Each source file keeps or replaces its own rows alone: what it has in a partition already stays, unless ``force``, which
+    replaces all its rows, also where they lie in months that it no longer has; other files' rows in the same month are
+    never touched. Rows without a source file count as of one file of the empty name.
+    """
+    keys = [*by, SOURCE]
+    named = df.withColumn(SOURCE, F.coalesce(F.col(source).cast("string"), F.lit("")))
+    fs, folders = _folders(df, path, len(keys))
+    there = {_values(f, len(keys)): f for f in folders}  # as many as files have months
+    wanted = [tuple(r) for r in named.select(*[F.coalesce(F.col(c).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")) for c in keys]).distinct().collect()]
+    empty = lambda t: tuple(v or "__HIVE_DEFAULT_PARTITION__" for v in t)
+    new = [w for w in wanted if force or empty(w) not in there]
+    if new:
+        rows = named.withColumn("_p", F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")) for c in keys]))
+        if len(new) < len(wanted):
+            chosen = df.sparkSession.createDataFrame([(list(w),) for w in new], "_p array<string>")
+            rows = rows.join(F.broadcast(chosen), "_p", "left_semi")  # as many as files have months
+        write = rows.drop("_p").repartition(*keys).write.option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*keys)
+        write.mode("overwrite" if force else "append").parquet(path)
+    if force:
+        kept, sources = {empty(w) for w in wanted}, {empty(w)[-1] for w in wanted}
+        for values, folder in there.items():
+            if values[-1] in sources and values not in kept:
+                fs.delete(folder, True)
+    return len(new)
+
+
+def rows_of(spark: SparkSession, path: str, sources: list[str]) -> int:
+    """Rows that a partitioned table holds of these source files; only folders are read, and the counts in their footers."""
+    if not _folders(spark, path, 3)[1]:
+        return 0
+    return spark.read.option("mergeSchema", True).parquet(path).where(F.col(SOURCE).isin(sources)).count()
+
+
+def write_windows(df: DataFrame, path: str, source: str = "_source_file") -> int:
+    """One Parquet folder per window file, not cut by month: ``path/source=NAME``; the number of windows."""
+    rows = df.withColumn(SOURCE, F.coalesce(F.col(source).cast("string"), F.lit("")))
+    rows.repartition(SOURCE).write.option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(SOURCE).mode("overwrite").parquet(path)
+    return rows.select(SOURCE).distinct().count()
+
+
+def releases(spark: SparkSession, root: str, needed: Sequence[str]) -> list[str]:
+    """Folders right below ``root`` that hold all the tables a release has, latest name first."""
+    jvm = spark._jvm
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in (fs.listStatus(base) if fs.exists(base) else []) if s.isDirectory()]
+    whole = [f for f in found if all(fs.exists(jvm.org.apache.hadoop.fs.Path(f, n)) for n in needed)]
+    return sorted((f.toString() for f in whole), reverse=True)
 
 
 def write_sorted(df: DataFrame, path: str, keys: list[str]) -> None:
@@ -77,6 +132,18 @@ def table_receipt(df: DataFrame, path: str | Path | None = None) -> dict[str, ob
     return out
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getContentSummary(root).getLength() if fs.exists(root) else 0
+
+
+def sizes(files: Sequence[str], out: str, spark: SparkSession) -> dict[str, float]:
+    """Bytes and MiB of raw files and of the table made of them, and their ratio (0 without raw bytes)."""
+    raw, made = sum(folder_bytes(spark, f) for f in files), folder_bytes(spark, out)
+    return {"raw_bytes": raw, "raw_mib": round(raw / 2**20, 2), "parquet_bytes": made, "parquet_mib": round(made / 2**20, 2), "parquet_to_raw": round(made / raw, 4) if raw else 0.0}
+
+
 def catalogue_type(kind: T.DataType) -> str:
     if isinstance(kind, T.BooleanType):
         return "boolean"

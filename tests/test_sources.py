@@ -127,10 +127,37 @@ def test_normalized_partitions(spark, tmp_path):
     path = str(tmp_path / "bids")
     assert sinks.write_partitioned(out, path) == 2
     assert sinks.write_partitioned(out, path) == 0
-    assert spark.read.parquet(path).count() == 3
+    assert spark.read.parquet(path).count() == 3 == sinks.rows_of(spark, path, ["f"])
     assert sinks.write_partitioned(out.where("month = '09'"), path, force=True) == 1
-    assert spark.read.parquet(path).count() == 3
-    assert spark.read.parquet(path).select("month").distinct().count() == 2
+    assert rows(spark.read.parquet(path).select("bid_notice_no", "year", "month")) == [("2", "2026", "09")]
+
+
+def test_files_of_one_month_keep_and_replace_their_own_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    make = lambda *data: spark.createDataFrame(list(data), "id int, _source_file string, year string, month string")
+    shown = lambda: rows(spark.read.parquet(path).select("id", "_source_file", "month"))
+    a, b = make((1, "a", "2026", "08"), (4, "a", "2026", "09")), make((2, "b", "2026", "08"), (3, "b", "2026", "08"))
+    assert sinks.write_partitioned(a, path) == 2
+    assert sinks.write_partitioned(b, path) == 1
+    assert shown() == [(1, "a", "08"), (2, "b", "08"), (3, "b", "08"), (4, "a", "09")]
+    assert sinks.write_partitioned(make((9, "a", "2026", "08"), (2, "b", "2026", "08")), path) == 0
+    assert sinks.write_partitioned(make((5, "a", "2026", "08")), path, force=True) == 1
+    assert shown() == [(2, "b", "08"), (3, "b", "08"), (5, "a", "08")]
+    assert sinks.write_partitioned(make((6, None, "2026", "08"), (7, "x=/ y.gz", "2026", "08")), path) == 2
+    assert sinks.write_partitioned(make((6, None, "2026", "08"), (7, "x=/ y.gz", "2026", "08")), path) == 0
+    assert sinks.rows_of(spark, path, ["b"]) == 2 and sinks.rows_of(spark, str(tmp_path / "none"), ["b"]) == 0
+    assert sinks.write_partitioned(a.limit(0), path) == 0
+
+
+def test_windows_and_releases(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "id int, _source_file string")
+    assert sinks.write_windows(df, str(tmp_path / "w")) == 2
+    assert rows(spark.read.parquet(str(tmp_path / "w")).groupBy("source").count()) == [("a", 1), ("b", 2)]
+    for name, tables in (("r_2026_01", ("tenders", "agencies")), ("r_2026_02", ("tenders",)), ("r_2026_03", ("tenders", "agencies"))):
+        for t in tables:
+            (tmp_path / "rel" / name / t).mkdir(parents=True)
+    assert [r.rsplit("/", 1)[1] for r in sinks.releases(spark, str(tmp_path / "rel"), ["tenders", "agencies"])] == ["r_2026_03", "r_2026_01"]
+    assert sinks.releases(spark, str(tmp_path / "nowhere"), ["x"]) == []
 
 
 HEAD = "입찰공고번호,입찰공고차수,공고명,추정가격,개찰순위,낙찰자선정여부,업체사업자등록번호,투찰금액,투찰율"
