@@ -9,7 +9,7 @@ consistent name.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -20,8 +20,9 @@ from pyspark.sql.window import Window as W
 from jangbu.functions.text import WHITE_SPACE, blank_to_null, day
 from jangbu.session import cut
 
-#: Changed fields (a row of four short texts each) up to which they are sent to every task.
-BROADCAST_ROWS = 100_000
+#: Changed fields (a row of four short texts each) up to which they are sent to every task; records of a file's field whose
+#: contents its sketch holds: those of the smallest hashes, so that two files' sketches hold the same records.
+BROADCAST_ROWS, SKETCH = 100_000, 4096
 TYPES = ("text", "integer", "decimal", "boolean", "object")
 
 
@@ -59,10 +60,11 @@ def with_content(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return out.withColumns({n: shown(n) for n in columns}).drop(*[f"_{n}" for n in columns])
 
 
-def cells(lines: DataFrame, stream: str, file: str, order: str, payload: str, key_field: str, line: str) -> DataFrame:
+def cells(lines: DataFrame, stream: str, file: str, order: str, payload: str, key_field: str | Sequence[str], line: str) -> DataFrame:
     """One row per non-null field of a line: ``stream, file, ord, line, rec, field, type, text``.
 
-    ``rec`` is the trimmed value of ``key_field``, which names the record in every file. A payload that is null, empty,
+    ``rec`` is the trimmed value of ``key_field``, which names the record in every file, or of the first of several that the
+    line has. A payload that is null, empty,
     not an object or repeats a field name gives no cells. Each line is parsed once, on the JVM. A whole number beyond 64
     bits counts as decimal.
     """
@@ -73,7 +75,8 @@ def cells(lines: DataFrame, stream: str, file: str, order: str, payload: str, ke
         F.col(line).alias("line"),
         F.try_parse_json(F.col(payload)).alias("doc"),
     )
-    keyed = parsed.withColumn("rec", blank_to_null(F.try_variant_get("doc", f"$['{key_field}']", "string")))
+    keys = [key_field] if isinstance(key_field, str) else key_field
+    keyed = parsed.withColumn("rec", F.coalesce(*[blank_to_null(F.try_variant_get("doc", f"$['{k}']", "string")) for k in keys]))
     exploded = keyed.lateralJoin(parsed.sparkSession.tvf.variant_explode(F.col("doc").outer())).where("key is not null")
     kinds = exploded.select("stream", "file", "ord", "line", "rec", F.col("key").alias("field"), F.schema_of_variant("value").alias("kind"), F.col("value").cast("string").alias("text"))
     return kinds.select("stream", "file", "ord", "line", "rec", "field", json_type(F.col("kind")).alias("type"), "text").where("type is not null")
@@ -94,6 +97,31 @@ def neighbours(profile: DataFrame) -> DataFrame:
     return files.select("stream", "file", F.lag("file").over(w).alias("before")).where("before is not null")
 
 
+def key_names(found: DataFrame, profile: DataFrame, key: str) -> list[str]:
+    """The names that the key field goes by. Files without any known name are compared with the keyed file before or behind
+    them: the field that shares most of its values with that file's keys, two at least and half of its own, is the key
+    under another name. Only names come to the driver, one a round, as many as the key has."""
+    names = [key]
+    if profile.groupBy("stream", "file").agg(F.bool_or(F.col("field") == key).alias("keyed")).where("not keyed").isEmpty():
+        return names
+    files = profile.select("stream", "file", "ord").distinct()
+    w = W.partitionBy("stream").orderBy("ord", "file")
+    both = files.withColumns({"before": F.lag("file").over(w), "behind": F.lead("file").over(w)})
+    beside = cut(both.select("stream", "file", F.explode(F.array("before", "behind")).alias("near")).where("near is not null"))
+    while True:
+        keyed = profile.where(F.col("field").isin(names)).select("stream", "file").distinct()
+        bare = beside.join(keyed, ["stream", "file"], "left_anti").join(keyed.select("stream", F.col("file").alias("near")), ["stream", "near"], "left_semi")
+        if bare.isEmpty():
+            return names
+        values = found.select("stream", "file", "field", F.trim("text").alias("text")).distinct()
+        known = values.where(F.col("field").isin(names)).select("stream", F.col("file").alias("near"), "text", F.lit(1).alias("hit")).distinct()
+        likely = bare.join(values, ["stream", "file"]).join(known, ["stream", "near", "text"], "left").groupBy("stream", "file", "near", "field").agg(F.count(F.lit(1)).alias("n"), F.sum("hit").alias("hits"))
+        best = likely.where("hits >= 2 and hits * 2 >= n").groupBy("field").agg(F.sum("hits").alias("hits")).orderBy(F.desc("hits"), "field").first()
+        if best is None:
+            return names
+        names.append(best.field)
+
+
 def similarity(a: Column, b: Column) -> Column:
     """Name similarity from 0 to 1: one less the share of letters to change, case and underscores aside."""
     x, y = (F.regexp_replace(F.lower(c), "_", "") for c in (a, b))
@@ -109,7 +137,7 @@ def presence(profile: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def sketches(found: DataFrame, of: DataFrame) -> DataFrame:
     """Fingerprints of the records' contents under the fields in ``of`` (stream, file, field and more): one row per row of
-    ``of``, record and content.
+    ``of``, record and content, of the ``SKETCH`` records of the smallest hashes, which is bounded whatever a file holds.
 
     Where most contents of a file's field are numbers, or most are not, the others are strays and left out. Only cells of
     field names that changed somewhere go into the join; the names are as few as the schemas' vocabulary.
@@ -120,11 +148,14 @@ def sketches(found: DataFrame, of: DataFrame) -> DataFrame:
     # written out, so that the filter on contents isn't pushed below the join and worked out for every cell of every file
     said = with_content(cut(chosen), {"says": "text"}).where("says is not null").select(*of.columns, "rec", F.xxhash64("says").alias("print"), F.col("says").rlike(r"^-?\d+(\.\d+)?$").alias("counts"))
     usual = said.groupBy(*of.columns).agg((F.avg(F.col("counts").cast("int")) >= 0.5).alias("numeric"))
-    return said.join(usual, of.columns).where("counts = numeric").select(*of.columns, "rec", "print").distinct()
+    prints = said.join(usual, of.columns).where("counts = numeric").select(*of.columns, "rec", "print").distinct()
+    place = F.dense_rank().over(W.partitionBy(*of.columns).orderBy(F.xxhash64("rec")))
+    return prints.withColumn("_place", place).where(F.col("_place") <= SKETCH).drop("_place")
 
 
 def rename_scores(found: DataFrame, changes: DataFrame) -> DataFrame:
-    """For each field that ends and each that begins between two files: records in both, how many agree, name similarity."""
+    """For each field that ends and each that begins between two files: records in both, how many agree, likeness of names,
+    whether the types are the same."""
     ended = changes.where("type is null").select("stream", "file", "before", "field")
     begun = changes.where("old_type is null").select("stream", "file", "before", "field")
     pair = ["stream", "file", "before"]
@@ -138,10 +169,14 @@ def rename_scores(found: DataFrame, changes: DataFrame) -> DataFrame:
         .groupBy("stream", "file", "old_field", "new_field", "rec")
         .agg(F.max((F.col("old_print") == F.col("new_print")).cast("int")).alias("agree"))
     )
+    was = changes.where("type is null").select("stream", "file", F.col("field").alias("old_field"), "old_type")
+    now = changes.where("old_type is null").select("stream", "file", F.col("field").alias("new_field"), "type")
     return (
         per_record.groupBy("stream", "file", "old_field", "new_field")
         .agg(F.count(F.lit(1)).alias("shared"), F.sum("agree").alias("agree"))
-        .withColumn("names", similarity(F.col("old_field"), F.col("new_field")))
+        .join(was, ["stream", "file", "old_field"])
+        .join(now, ["stream", "file", "new_field"])
+        .withColumns({"names": similarity(F.col("old_field"), F.col("new_field")), "types": (F.col("type") == F.col("old_type")).cast("double")})
     )
 
 
@@ -187,28 +222,33 @@ RENAMES = T.StructType([T.StructField(n, T.StringType()) for n in ("stream", "fi
 
 def match_fields(scores: DataFrame, least_share: float, least_agree: int) -> DataFrame:
     """The matching of each pair of files. A pair of fields counts if at least ``least_agree`` shared records and
-    ``least_share`` of them agree; more agreement weighs first, then the likeness of names. One task holds the field pairs
+    ``least_share`` of them agree; more agreement weighs first, then the likeness of names, then the same type. One task holds the field pairs
     of two files, as many as the files have changed fields, and no values."""
 
     def match(group: pd.DataFrame) -> pd.DataFrame:
         old, new = sorted(set(group.old_field)), sorted(set(group.new_field))
         weights = [[0.0] * len(new) for _ in old]
         for r in group.itertuples():
-            weights[old.index(r.old_field)][new.index(r.new_field)] = r.agree / r.shared + 0.001 * min(r.agree, 100) / 100 + 0.1 * r.names
+            weights[old.index(r.old_field)][new.index(r.new_field)] = r.agree / r.shared + 0.001 * min(r.agree, 100) / 100 + 0.1 * r.names + 0.01 * r.types
         got = [(old[i], new[j]) for i, j in enumerate(assign(weights)) if j >= 0]
         return pd.DataFrame({"stream": group.stream.iloc[0], "file": group.file.iloc[0], "old_field": [a for a, _ in got], "new_field": [b for _, b in got]})
 
     likely = scores.where((F.col("agree") >= least_agree) & (F.col("agree") >= least_share * F.col("shared")))
-    return likely.select("stream", "file", "old_field", "new_field", "shared", "agree", "names").groupBy("stream", "file").applyInPandas(match, RENAMES)
+    return likely.select("stream", "file", "old_field", "new_field", "shared", "agree", "names", "types").groupBy("stream", "file").applyInPandas(match, RENAMES)
 
 
-def drift(found: DataFrame, least_share: float = 0.7, least_agree: int = 2) -> tuple[DataFrame, DataFrame]:
+def drift(found: DataFrame, least_share: float = 0.7, least_agree: int = 2, key: str | None = None, again: Callable[[list[str]], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """All changes between neighbouring files of ``cells`` rows, and the renamings alone.
 
+    With the ``key`` field and ``again``, which makes the cells for several key names, files that hold the key under
+    another name are told by its values; without, such files show no renamings.
+
     Changes: ``stream, file_name, change_kind, field_name, old_name``; kinds ``renamed``, ``added``, ``removed`` and
     ``type_changed``; ``old_name`` is '' but for renamings. The first file of a stream shows none; an empty table gives none.
     """
     profile = cut(field_profile(found))
+    if key and again and len(names := key_names(found, profile, key)) > 1:
+        found = again(names)
     changes = cut(presence(profile, neighbours(profile)))
     renames = cut(match_fields(rename_scores(found, changes), least_share, least_agree))
     show = lambda df, kind, name, old=F.lit(""): df.select("stream", F.col("file").alias("file_name"), F.lit(kind).alias("change_kind"), name.alias("field_name"), old.alias("old_name"))

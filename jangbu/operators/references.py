@@ -15,6 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jangbu.functions.text import blank_to_null, day, trimmed
+from jangbu.session import cut
+
+#: Failing keys of a parent up to which they are sent to every task; more of them meet the rows by a shuffle.
+BROADCAST_KEYS = 200_000
 
 
 @dataclass(frozen=True)
@@ -85,7 +89,8 @@ def orphans(tables: Mapping[str, DataFrame], references: Sequence[Reference], pa
 
     ``kind`` is ``missing`` (no such key), ``deleted`` (the key's latest row deletes it) or ``late`` (the key's first
     day lies behind the row's). A null or blank reference is none and makes no row; a missing day is never late.
-    Repeated rows come out as often as they go in. Empty tables give no rows, or only missing ones if the parent is
+    Repeated rows come out as often as they go in. Up to ``BROADCAST_KEYS`` failing keys of a parent are sent to the rows, so
+    that a hot one isn't gathered; more are joined by key, where adaptive execution splits what is skewed. Empty tables give no rows, or only missing ones if the parent is
     empty. Extra columns are not read.
     """
     out = []
@@ -101,7 +106,8 @@ def orphans(tables: Mapping[str, DataFrame], references: Sequence[Reference], pa
         failing = named.join(keys, "ref", "left_anti").select("ref", F.lit("missing").alias("kind"))
         if parent.status:
             failing = failing.unionByName(named.join(keys.where("gone"), "ref", "left_semi").select("ref", F.lit("deleted").alias("kind")))
-        out.append(rows.join(failing, "ref"))
+        failing = cut(failing)  # few beside the rows, which then stay where they lie
+        out.append(rows.join(F.broadcast(failing) if failing.count() <= BROADCAST_KEYS else failing, "ref"))
         if any(r.late for r in own):
             dated = rows.where("dated").join(keys.where("first_day is not null"), "ref").where("first_day > row_day")
             out.append(dated.select(*rows.columns, F.lit("late").alias("kind")))

@@ -22,20 +22,24 @@ COLUMNS = {
 }
 
 
-def contract_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cells(table(spark, sf_dir, "contract_files"), "stream_code", "file_name", "window_start", "payload", KEY, "line_no")
+def contract_cells(spark: SparkSession, sf_dir: str, keys: str | list[str] = KEY) -> DataFrame:
+    return cells(table(spark, sf_dir, "contract_files"), "stream_code", "file_name", "window_start", "payload", keys, "line_no")
+
+
+def _drift(spark: SparkSession, sf_dir: str, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return drift(found, key=KEY, again=lambda keys: contract_cells(spark, sf_dir, keys))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each change once, between a file and the one before it in its stream."""
-    changes, _ = drift(contract_cells(spark, sf_dir))
+    changes, _ = _drift(spark, sf_dir, contract_cells(spark, sf_dir))
     return changes.drop("stream")
 
 
 def p3_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line as delivered, under one set of typed columns; the other fields as one JSON text."""
     found = contract_cells(spark, sf_dir)
-    _, renames = drift(found)
+    _, renames = _drift(spark, sf_dir, found)
     names = vocabulary(found, renames)
     lines = table(spark, sf_dir, "contract_files")
     out = unify(lines, "payload", names, COLUMNS, ["stream_code", "file_name", "line_no", "collected_at"])

@@ -68,6 +68,38 @@ def test_drift(spark):
     ])
 
 
+def test_drift_with_a_renamed_key(spark):
+    one = ['{"id": "A1", "amt": 100, "x": 1}', '{"id": "B1", "amt": 200, "x": 2}', '{"id": "C1", "amt": 300}']
+    two = ['{"no": "A1", "amount": 100}', '{"no": "B1", "amount": 200}', '{"no": "C1", "amount": 300}', '{"no": "D1", "amount": 5}']
+    three = ['{"no": "A1", "sum": 100}', '{"no": "D1", "sum": 5}', '{"no": "B1", "sum": 200}']
+    data = [("s", f"f{k}", f"2026-01-0{k}", i, p) for k, lines in enumerate((one, two, three), 1) for i, p in enumerate(lines)]
+    lines = spark.createDataFrame(data, LINES)
+    make = lambda keys: D.cells(lines, "stream_code", "file_name", "window_start", "payload", keys, "line_no")
+    changes, _ = D.drift(make("id"), key="id", again=make)
+    assert rows(changes.drop("stream")) == sorted([("f2", "renamed", "no", "id"), ("f2", "renamed", "amount", "amt"), ("f2", "removed", "x", ""), ("f3", "renamed", "sum", "amount")])
+
+
+def test_sketches_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(D, "SKETCH", 20)
+    one = ['{"id": "K%d", "a": %d, "b": "t%d"}' % (i, i * 7, i) for i in range(300)]
+    two = ['{"id": "K%d", "c": %d, "d": "t%d"}' % (i, i * 7, i) for i in range(150, 450)]
+    found = drifted(spark, [one, two])
+    profile = D.field_profile(found)
+    of = D.presence(profile, D.neighbours(profile)).where("type is null").select("stream", F.col("before").alias("file"), "field")
+    assert D.sketches(found, of).groupBy("field").count().agg(F.max("count")).first()[0] == 20
+    changes, _ = D.drift(found)
+    assert {(r.old_name, r.field_name) for r in changes.where("change_kind = 'renamed'").collect()} == {("a", "c"), ("b", "d")}
+
+
+def test_orphans_beyond_the_broadcast(spark, monkeypatch):
+    from jangbu.operators import references
+
+    child, parent = [(str(i), f"k{i % 7}", "2026-01-05", "x") for i in range(40)], [("k1", "2026-01-01", "", None), ("k2", "2026-02-01", "gone", None)]
+    want = rows(orphan_rows(refs(spark, child, parent)))
+    monkeypatch.setattr(references, "BROADCAST_KEYS", 0)
+    assert rows(orphan_rows(refs(spark, child, parent))) == want and len(want) > 30
+
+
 def test_drift_of_nothing(spark):
     assert D.drift(drifted(spark, []))[0].count() == 0
     assert D.drift(drifted(spark, [['{"id": "A", "x": 1}']]))[0].count() == 0
