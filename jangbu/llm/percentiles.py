@@ -42,7 +42,8 @@ def percentiles(summary: DataFrame, keys: Sequence[str], probs: Sequence[float],
     keys = list(keys)
     tasks = tasks or int(summary.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     group = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
-    ranged = summary.select(group.alias("g"), "bin", "n").repartitionByRange(tasks, "g", "bin").withColumn("task", F.spark_partition_id())
+    counted = cut(summary.select(group.alias("g"), "bin", "n"))  # placing samples it first, which would count everything twice
+    ranged = counted.repartitionByRange(tasks, "g", "bin").withColumn("task", F.spark_partition_id())
     placed = cut(ranged)  # both uses below must see the same placement, also after a lost executor
     per_task = placed.groupBy("g", "task").agg(F.sum("n").alias("here"))
     before = W.partitionBy("g").orderBy("task")
