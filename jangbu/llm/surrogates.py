@@ -112,23 +112,29 @@ def canonical(kind: str, text: str) -> str:
     return re.sub(r"\s+", " " if kind == "address" else "", flat).replace(" ,", ",")
 
 
-def _id_radix(canon: str) -> tuple[list[int], list[int], Callable[[Sequence[int]], bool] | None]:
-    value, radices = [], []
-    for c in canon:
-        value.append(int(c) if c.isdigit() else ord(c) - 65)
-        radices.append(10 if c.isdigit() else 26)
-    if len(canon) != 13:
-        return value, radices, None
+_DAYS = [f"{m:02}{d:02}" for m, last in enumerate((31, 29, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31), 1) for d in range(1, last + 1)]
+_DAY_NO = {d: k for k, d in enumerate(_DAYS)}
+
 
-    def usual(v: Sequence[int]) -> bool:
-        month, dom = v[2] * 10 + v[3], v[4] * 10 + v[5]
-        if not (1 <= month <= 12 and 1 <= dom <= (29, 30, 31)[(month in (4, 6, 9, 11)) + 2 * (month in (1, 3, 5, 7, 8, 10, 12))]):
-            return False
-        check = (11 - sum(a * b for a, b in zip(v, (2, 3, 4, 5, 6, 7, 8, 9, 2, 3, 4, 5), strict=False)) % 11) % 10
-        return check != v[12]  # never a number that somebody can have
+def _usual(number: str) -> bool:
+    """Whether thirteen digits begin with a day and have no valid check digit, so that nobody can have them."""
+    check = (11 - sum(int(a) * b for a, b in zip(number, (2, 3, 4, 5, 6, 7, 8, 9, 2, 3, 4, 5), strict=False)) % 11) % 10
+    return number[2:6] in _DAY_NO and check != int(number[12])
 
-    same = usual(value)  # numbers of the usual form stay among themselves, and the others too, so neither meets the other
-    return value, radices, lambda v: v[6] == value[6] and usual(v) == same  # the century, nationality and sex digit stays
+
+def _identity(canon: str, key: bytes) -> str:
+    """Letters stay letters, digits digits. Of thirteen digits the seventh (century, nationality, sex) stays, and numbers of
+    the usual form stay among themselves, as do the others, so neither meets the other."""
+    if len(canon) != 13 or not canon.isdigit():
+        radices = [10 if c.isdigit() else 26 for c in canon]
+        new = permute([int(c) if c.isdigit() else ord(c) - 65 for c in canon], radices, key, f"id {radices}")
+        return "".join(str(d) if r == 10 else chr(65 + d) for d, r in zip(new, radices, strict=True))
+    sex = canon[6]
+    if _usual(canon):
+        shown = lambda v: f"{v[0]:02}{_DAYS[v[1]]}{sex}{v[2]:06}"
+        return shown(permute([int(canon[:2]), _DAY_NO[canon[2:6]], int(canon[7:])], [100, len(_DAYS), 1_000_000], key, f"id {sex}", lambda v: _usual(shown(v))))
+    shown = lambda v: f"{v[0]:06}{sex}{v[1]:06}"
+    return shown(permute([int(canon[:6]), int(canon[7:])], [1_000_000, 1_000_000], key, f"odd id {sex}", lambda v: not _usual(shown(v))))
 
 
 def _cased(like: str, letters: str) -> str:
@@ -277,17 +283,8 @@ def surrogate(kind: str, text: str, key: bytes) -> str:
         digits = _digits(unicodedata.normalize("NFKC", text))
         return _fill(text, digits[: -len(own)] + new)
     if kind == "id_number":
-        value, radices, valid = _id_radix(canonical(kind, text))
-        new = permute(value, radices, key, f"id {radices} {value[6] if len(value) == 13 else ''}", valid)
-        it = iter(zip(new, radices, strict=True))
-        out = []
-        for c in text:
-            if unicodedata.normalize("NFKC", c).isalnum():
-                d, r = next(it)
-                out.append(_fill(c, str(d)) if r == 10 else chr(65 + d))
-            else:
-                out.append(c)
-        return "".join(out)
+        it = iter(_identity(canonical(kind, text), key))
+        return "".join((_fill(c, d) if c.isdigit() else d) if unicodedata.normalize("NFKC", c).isalnum() and (d := next(it)) else c for c in text)
     if kind == "email":
         local = re.match(r"[A-Za-z0-9._%+-]+", text).group()
         flat = re.sub(r"[^A-Za-z0-9]", "", local)
