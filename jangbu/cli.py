@@ -20,9 +20,10 @@ from jangbu.operators import audit, curate, gates, release
 from jangbu.operators.normalize import normalized
 from jangbu.session import build_session
 from jangbu.sources import sinks
-from jangbu.sources.feed import AuthError, Collector, QuotaError
-from jangbu.sources.raw import Manifest, check_windows, read_lines, select_planned, split_meta
+from jangbu.sources.feed import AuthError, Collector, QuotaError, http_fetcher
+from jangbu.sources.raw import Manifest, check_windows, files_in_scope, manifest_in_scope, plan_findings, read_lines, select_planned, split_meta
 from jangbu.sources.report import normalized_report, read_report
+from jangbu.sources.schemas import ALIASES, DEDUPE_KEYS
 from jangbu.sources.windows import FEEDS, month_scopes, plan
 
 log = logging.getLogger("jangbu")
@@ -86,6 +87,15 @@ def _scoped(spark: SparkSession, folder: str, feed: str, day: str, start: str, e
     return curate.in_scope(rows, day, start, end)
 
 
+EVENTS = {"bids": "bid_notice_date", "awards": "opening_date", "contracts": "contract_date"}
+
+
+def own_keys(feed: str) -> list[str]:
+    """The feed's key under the names that processed tables have."""
+    own = dict(ALIASES[feed])
+    return list(dict.fromkeys(own[k] for k in DEDUPE_KEYS.get(feed, []) if k in own))
+
+
 KEYS = {"tenders": curate.TENDER_KEY, "submissions": ["bid_submission_id"], "outcomes": ["award_outcome_id"], "contracts": ["unified_contract_no"], "suppliers": ["supplier_id"], "agencies": ["agency_code"], "bridge": ["unified_contract_no"]}
 
 
@@ -98,9 +108,12 @@ def curate_scope(spark: SparkSession, processed: str, out: str, start: str, end:
     awards = _scoped(spark, processed, "awards", "opening_date", start, end)
     contracts = _scoped(spark, processed, "contracts", "contract_date", start, end)
     tables = vars(curate.curated(bids, awards, contracts, key))
-    expected = {"tenders": bids.count(), "submissions": awards.count(), "outcomes": awards.where("is_selected_winner").count(), "contracts": contracts.count()}
+    base = {r.what: r.n for r in audit.baselines(bids, awards, contracts).collect()}
+    expected = {"tenders": base["bids"], "submissions": base["awards"], "outcomes": base["winners"], "contracts": base["contracts"], "bridge": base["linked_contracts"], "suppliers": base["suppliers"], "agencies": base["agencies"]}
     publishable = {n: df.drop("names") for n, df in tables.items()}
     checks = gates.report(publishable, KEYS, expected, "bridge")
+    unlinked = publishable["contracts"].count() - publishable["bridge"].count()
+    checks.append({"gate": "unlinked contracts", "table": "bridge", "passed": unlinked == base["unlinked_contracts"], "detail": f"{unlinked} of {base['unlinked_contracts']}"})
     gates.require(checks)
     for name, df in publishable.items():
         sinks.write_sorted(df, f"{out}/{name}", KEYS[name])
@@ -130,7 +143,7 @@ def release_(spark: SparkSession, a: argparse.Namespace) -> int:
     tables |= {t: release.merge_in_scope(read(t), tenders) for t in ("submissions", "outcomes", "bridge")}
     tables = {n: df.drop(*release.PRIVATE) for n, df in tables.items()}
     expected = {t: sum(df.count() for df in read(t)) for t in ("tenders", "submissions", "outcomes", "contracts", "bridge")}
-    gates.require([g for g in gates.report(tables, KEYS, expected) if g["gate"] != "primary key"])
+    gates.require(gates.report(tables, KEYS, expected) + gates.no_company_names(tables))
     receipts = {}
     for name, df in tables.items():
         sinks.write_sorted(df, f"{a.out}/{name}", KEYS[name])
@@ -175,19 +188,83 @@ def collect(spark: SparkSession, a: argparse.Namespace) -> int:
     """Collect windows with a fetcher given as module:function (it has the network; this has the order)."""
     module, _, name = a.fetcher.partition(":")
     log.info("key %s", shown_key(os.environ.get("JANGBU_SERVICE_KEY")))
-    c = Collector(getattr(importlib.import_module(module), name), Path(a.raw), Manifest(Path(a.raw) / "manifest.json", a.raw), receipts=[], attempts=[])
+    fetch = http_fetcher() if a.fetcher == "http" else getattr(importlib.import_module(module), name)
+    c = Collector(fetch, Path(a.raw), Manifest(Path(a.raw) / "manifest.json", a.raw), receipts=True)
     rows = plan(spark, date.fromisoformat(a.start), date.fromisoformat(a.end), tuple(a.feeds)).orderBy("feed", "window_start", "category").collect()
     try:
         for feed in a.feeds:
             windows = [(str(r.window_start), str(r.window_end), r.category) for r in rows if r.feed == feed]
-            log.info("%s: %s", feed, c.run(FEEDS[feed], windows, a.max_windows, a.max_calls, force=a.force, dry_run=a.dry_run))
+            log.info("%s: %s", feed, c.run(FEEDS[feed], windows, a.max_windows, a.max_calls, progress=lambda n, of, what: log.info("%d of %d: %s", n, of, what), force=a.force, dry_run=a.dry_run))
     except AuthError:
         return 2
     except QuotaError:
         return 3
-    finally:
-        with (Path(a.raw) / "receipts.jsonl").open("a", encoding="utf-8") as f:
-            f.writelines(json.dumps(x, ensure_ascii=False) + "\n" for x in [*c.receipts, *c.attempts])
+    return 0
+
+
+def _windows(spark: SparkSession, raw: str, start: str, end: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(plan, manifest entries, files that are there) of a scope."""
+    wanted = plan(spark, date.fromisoformat(start), date.fromisoformat(end))
+    entries = Manifest(Path(raw) / "manifest.json", raw).entries
+    kind = "manifest_key string, dataset string, category string, start string, end string, status string, row_count long, api_calls long"
+    manifest = spark.createDataFrame([(k, e.dataset, e.category, e.start, e.end, e.status, e.row_count, e.api_calls) for k, e in entries.items()], kind)
+    files = spark.createDataFrame([(p.name,) for p in sorted(Path(raw).rglob("*.jsonl.gz"))], "file_name string")
+    return wanted, manifest_in_scope(manifest, start, end), files_in_scope(files, "file_name", start, end)
+
+
+def audit_history(spark: SparkSession, a: argparse.Namespace) -> int:
+    """A scope's plan, manifest, files and processed rows against each other; fails on critical findings with --strict."""
+    wanted, manifest, files = _windows(spark, a.raw, a.start, a.end)
+    off_plan = [r.asDict() for r in plan_findings(wanted, manifest, files).orderBy("finding", "name").collect()]  # as many as windows
+    critical = [f"plan: {len(off_plan)} findings"] if off_plan else []
+    built = Path(a.processed) / "build_report.json"
+    reports = {r["feed"]: r for r in json.loads(built.read_text())} if built.exists() else {}
+    findings, rows = [], []
+    for feed in FEEDS:
+        try:
+            df = spark.read.option("mergeSchema", True).parquet(f"{a.processed}/{feed}")
+        except Exception as e:
+            critical.append(f"{feed}: unreadable ({type(e).__name__})")
+            continue
+        rows.append((feed, df.count()))
+        findings += [r.asDict() for r in audit.feed_findings(df, feed, EVENTS[feed], own_keys(feed), a.start, a.end, ("_window_start", "_window_end")).collect()]
+    there = audit.reconciliation(spark.createDataFrame(rows, "feed string, rows long"), manifest)
+    matched = []
+    for r in there.collect():
+        report_ = reports.get(r.feed, {})
+        matched.append(r.asDict() | {"build_rows_before": report_.get("rows_before"), "build_rows_after": report_.get("rows_after")})
+        if report_.get("rows_before") != r.manifest_rows:
+            critical.append(f"{r.feed}: the manifest and the build differ in rows read")
+        if report_.get("rows_after") != r.processed_rows:
+            critical.append(f"{r.feed}: the build and the files differ in rows")
+    critical += [f"{f['feed']}: {f['n']} {f['finding']}" for f in findings if f["severity"] == "critical"]
+    warnings = [f"{f['feed']}: {f['n']} {f['finding']}" for f in findings if f["severity"] == "warning"]
+    accounting = [r.asDict() for r in audit.collection_accounting(manifest).collect()]
+    sinks.write_json(a.out, {"start": a.start, "end": a.end, "plan": off_plan, "findings": findings, "reconciliation": matched, "accounting": accounting, "warnings": warnings, "critical": critical})
+    return int(bool(critical) and a.strict)
+
+
+def catalogue_(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Descriptions and types of a release's tables; the flat file's header must be the flat table's."""
+    describe = json.loads(Path(a.descriptions).read_text(encoding="utf-8"))
+    tables = {p.name: spark.read.parquet(str(p)) for p in sorted(Path(a.release).iterdir()) if p.is_dir() and not p.name.startswith((".", "_"))}
+    flat = Path(a.release) / "quickstart.csv"
+    if flat.exists():
+        sinks.require_header(flat, release.quickstart(tables["tenders"], tables["outcomes"], tables["bridge"]).columns)
+    owner = a.owner or os.environ.get("JANGBU_OWNER", "")
+    sinks.write_json(a.out, sinks.catalogue(tables, owner, a.slug, describe))
+    return 0
+
+
+def quickstart_(spark: SparkSession, a: argparse.Namespace) -> int:
+    """The flat file alone, of the latest release below a folder."""
+    found = sinks.releases(spark, a.releases, ["tenders", "outcomes", "bridge"])
+    if not found:
+        raise FileNotFoundError(f"{a.releases}: no folder with tenders, outcomes and bridge")
+    back = {n: spark.read.parquet(f"{found[0]}/{n}") for n in ("tenders", "outcomes", "bridge")}
+    flat = release.quickstart(release.require_unique(back["tenders"], curate.TENDER_KEY, "tenders"), back["outcomes"], back["bridge"])
+    gates.require(release.reconcile(flat, back["tenders"], back["outcomes"], back["bridge"]))
+    sinks.write_csv(flat.orderBy(*curate.TENDER_KEY), a.out)
     return 0
 
 
@@ -217,6 +294,10 @@ def parser() -> argparse.ArgumentParser:
     p = command("curate", curate_months, "processed", "out", "start", "end", force=True)
     p.add_argument("--max-months", type=int)
     command("release", release_, "curated", "out", "start", "end")
+    command("audit", audit_history, "raw", "processed", "out", "start", "end", strict=True)
+    p = command("catalogue", catalogue_, "release", "descriptions", "slug", "out")
+    p.add_argument("--owner")
+    command("quickstart", quickstart_, "releases", "out")
     p = command("quality", quality, "out", strict=True)
     p.add_argument("paths", nargs="+")
     p.add_argument("--keys", nargs="*", default=[])

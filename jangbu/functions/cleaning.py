@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,9 +29,15 @@ def number(value: Column | str) -> Column:
 
 
 def moment(value: Column | str) -> Column:
-    """A timestamp from text in any notation of ``MOMENTS``; a bare time of day is none."""
+    """A timestamp from text in any year-first notation: separated by dashes, slashes, dots or 년월일, or not at all, with parts of
+    one digit, with a time behind a space or a T, or none; a year, or a year and a month, is its beginning. An impossible
+    moment is null, and so is a bare time of day."""
     bare = trimmed(value)
-    return F.coalesce(*[F.when(F.length(bare) == len(f), F.try_to_timestamp(bare, F.lit(f))) for f in MOMENTS])
+    short = F.coalesce(*[F.when(F.length(bare) == len(f), F.try_to_timestamp(bare, F.lit(f))) for f in MOMENTS])
+    date = r"^(\d{4})\s?[-/.년]\s?(\d{1,2})\s?[-/.월]\s?(\d{1,2})일?\.?(?:[T ]\s?(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?(?:\.\d{1,9})?(?:Z|[+-]\d{2}:?\d{2})?)?$"
+    part = lambda k, n: F.lpad(F.regexp_extract(bare, date, k), n, "0")
+    whole = F.concat(part(1, 4), F.lit("-"), part(2, 2), F.lit("-"), part(3, 2), F.lit(" "), part(4, 2), F.lit(":"), part(5, 2), F.lit(":"), part(6, 2))
+    return F.coalesce(short, F.when(bare.rlike(date), F.try_to_timestamp(whole, F.lit("yyyy-MM-dd HH:mm:ss"))))
 
 
 def flag(value: Column | str) -> Column:
@@ -90,6 +97,15 @@ DIVISION_CODES = {"1": "goods", "2": "foreign", "3": "construction", "5": "servi
 METHOD_PREFIXES = ((("수의계약",), "수의계약 (private_contract)"), (("제한경쟁",), "제한경쟁 (restricted_competitive)"), (("일반경쟁",), "일반경쟁 (general_competitive)"), (("지명경쟁",), "지명경쟁 (limited_competitive)"))
 
 
+#: Award methods by a word they hold, first match first (fixed values).
+AWARD_METHODS = ((("적격심사",), "qualification_review"), (("수의",), "small_sum_private"), (("협상",), "negotiation"), (("최저가",), "lowest_price"), (("종합평가",), "comprehensive_evaluation"))
+
+
+def award_method_label(value: Column | str) -> Column:
+    """The group of an award method; any other text, and none, is ``other``."""
+    return labelled(value, AWARD_METHODS, blank="other", other="other")
+
+
 def division_label(value: Column | str) -> Column:
     return labelled(value, DIVISIONS, blank="Unknown")
 
@@ -128,5 +144,11 @@ def shown_key(key: str | None) -> str:
     return "********" if len(key) <= 8 else f"{key[:4]}********{key[-4:]}"
 
 
+def decoded_key(key: str) -> str:
+    """A service key as it is sent: without white space around it, percent signs resolved."""
+    key = key.strip()
+    return unquote(key) if "%" in key else key
+
+
 def ratio(part: Column, whole: Column, digits: int, empty: float = 0.0) -> Column:
     return F.coalesce(F.round(F.try_divide(part.cast("double"), whole.cast("double")), digits), F.lit(float(empty)))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jangbu.functions.cleaning import ratio
+from jangbu.functions.cleaning import business_number, ratio, valid_business_number
 from jangbu.functions.text import blank_to_null, is_blank
 from jangbu.operators.relational import key_integrity
 
@@ -171,6 +171,45 @@ def reconciliation(processed: DataFrame, manifest: DataFrame) -> DataFrame:
     return m.join(p, "feed", "full").withColumn("agrees", F.col("manifest_rows") >= F.coalesce("processed_rows", F.lit(0)))
 
 
+#: Findings that make a processed feed unfit for release; the others are kept as the source's anomalies and warned of.
+CRITICAL = ("no rows", "no event column", "null event", "out of scope", "outside its window", "repeated key")
+
+
+def feed_findings(df: DataFrame, feed: str, event: str, keys: Sequence[str], start: str, end: str, window: tuple[str, str] | None = None) -> DataFrame:
+    """What is wrong with a processed feed: ``feed, finding, n, severity``, a row per finding, also where ``n`` is 0.
+
+    Critical are those of ``CRITICAL``; negative amounts and rates off 0 to 500 are warnings. Key columns that the table lacks
+    are left out of the key; without any, and without an event column, what depends on them isn't counted. Null key parts are
+    equal. Counting comes before any comparison of keys, so a hot key is a few rows.
+    """
+    own = effective_keys(keys, [df.columns])
+    repeated = df.groupBy(*own).agg(F.count(F.lit(1)).alias("c")).agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("n")) if own else None
+    odd = anomalies(df)
+    parts = [odd.groupBy(F.when(F.col("kind") == "negative", "negative amount").otherwise("odd rate").alias("finding")).agg(F.sum("n").alias("n"))]
+    if repeated is not None:
+        parts.append(repeated.select(F.lit("repeated key").alias("finding"), "n"))
+    if event in df.columns:
+        wide = scope_audit(df, event, start, end, window)
+        named = {"no rows": (F.col("rows") == 0).cast("long"), "null event": F.col("null_events"), "out of scope": F.col("out_of_scope"), "outside its window": F.col("window_violations")}
+        parts.append(wide.select(F.explode(F.array(*[F.struct(F.lit(k).alias("finding"), v.alias("n")) for k, v in named.items()])).alias("x")).select("x.*"))
+    else:
+        parts.append(df.sparkSession.range(1).select(F.lit("no event column").alias("finding"), F.lit(1).cast("long").alias("n")))
+    severity = F.when(F.col("n") == 0, "none").when(F.col("finding").isin(*CRITICAL), "critical").otherwise("warning")
+    return reduce(DataFrame.unionByName, parts).select(F.lit(feed).alias("feed"), "finding", F.col("n").cast("long").alias("n"), severity.alias("severity"))
+
+
+def baselines(bids: DataFrame, awards: DataFrame, contracts: DataFrame) -> DataFrame:
+    """The eight counts that a curated build must reproduce: ``what, n``."""
+    winners = awards.where("is_selected_winner")
+    linked = contracts.where(~is_blank("bid_notice_no"))
+    number = lambda df, c: df.select(business_number(c).alias("k")).where(valid_business_number(F.col("k")))
+    suppliers = number(awards, "bidder_business_registration_no").union(number(winners, "winner_business_registration_no")).union(number(contracts, "contractor_business_registration_no")).distinct()
+    code = lambda df, c: df.select(blank_to_null(c).alias("k")).where("k is not null")
+    agencies = code(bids, "notice_agency_code").union(code(bids, "demand_agency_code")).union(code(contracts, "contract_agency_code")).union(code(contracts, "demand_agency_code")).distinct()
+    whole = {"bids": bids, "awards": awards, "winners": winners, "contracts": contracts, "linked_contracts": linked, "unlinked_contracts": contracts.where(is_blank("bid_notice_no")), "suppliers": suppliers, "agencies": agencies}
+    return reduce(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(w).alias("what"), "n") for w, df in whole.items()])
+
+
 def labelled_counts(df: DataFrame, label: Column, name: str = "label") -> DataFrame:
     return df.groupBy(label.alias(name)).agg(F.count(F.lit(1)).alias("n"))
 

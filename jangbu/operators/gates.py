@@ -51,6 +51,16 @@ def report(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]], e
     return out
 
 
+def no_company_names(tables: Mapping[str, DataFrame]) -> list[dict[str, object]]:
+    """One entry per table: no column may name a firm, by name or by the list of names that a build keeps for itself."""
+    named = lambda c: re.search(r"(bidder|winner|contractor|supplier|company|corp)_?name", c, re.I) or c == "names"
+    out = []
+    for name, df in tables.items():
+        bad = [c for c in df.columns if named(c)]
+        out.append({"gate": "company names", "table": name, "passed": not bad, "detail": ", ".join(bad)})
+    return out
+
+
 def require(gates: Sequence[Mapping[str, object]]) -> None:
     failed = [f"{g['table']}: {g['gate']} ({g['detail']})" for g in gates if not g["passed"]]
     if failed:

@@ -1,18 +1,26 @@
-"""A paged feed as a Spark data source, with a fetcher that is passed in; and the resumable collector around it."""
+"""A paged feed as a Spark data source, over HTTP or any fetcher that is passed in; and the resumable collector around it."""
 
 from __future__ import annotations
 
+import json
+import os
 import random
 import time
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import UTC, datetime
 from pathlib import Path
+from urllib.error import HTTPError
+from urllib.parse import urlencode
+from urllib.request import Request, urlopen
+from uuid import uuid4
+from xml.etree import ElementTree
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from jangbu.functions.cleaning import decoded_key
 from jangbu.functions.identity import page_receipt
-from jangbu.sources.raw import Entry, Manifest, entry_of, write_window
+from jangbu.sources.raw import Entry, Manifest, WindowWriter, entry_of
 from jangbu.sources.windows import DIVISIONS, Feed
 
 
@@ -47,12 +55,80 @@ RETRY_STATUS = frozenset({429, 500, 502, 503, 504})
 Fetcher = Callable[[str, dict[str, object]], tuple[int, list[dict], int, str, str]]
 
 
+def envelope(text: str) -> tuple[list[dict], int, str, str]:
+    """Items, total, code and message of an answer in JSON, or in XML where it isn't JSON; ``PermanentError`` for JSON of
+    another form, which asking again won't mend."""
+    try:
+        doc = json.loads(text)
+    except ValueError:
+        return _xml_envelope(text)
+    whole = doc.get("response", doc) if isinstance(doc, dict) else None
+    if not isinstance(whole, dict) or not isinstance(whole.get("header"), dict):
+        raise PermanentError("the answer has neither response nor header")
+    body = whole.get("body") or {}
+    items = body.get("items") or []
+    items = items.get("item", items) if isinstance(items, dict) else items
+    items = [items] if isinstance(items, dict) else items or []
+    if not isinstance(items, list) or not all(isinstance(i, dict) for i in items):
+        raise PermanentError("items of another form")
+    total = str(body.get("totalCount", "")).strip()
+    head = whole["header"]
+    return items, int(total) if total.isdigit() else len(items), str(head.get("resultCode") or "").strip(), str(head.get("resultMsg") or "")
+
+
+def _xml_envelope(text: str) -> tuple[list[dict], int, str, str]:
+    try:
+        root = ElementTree.fromstring(text.strip())  # noqa: S314
+    except ElementTree.ParseError as e:
+        raise TransientError("the answer is neither JSON nor XML") from e
+    said = lambda *names: next((x.text.strip() for n in names for x in root.iter(n) if x.text and x.text.strip()), "")
+    error = next(root.iter("cmmMsgHeader"), None)
+    if error is not None:
+        return [], 0, said("returnReasonCode"), said("returnAuthMsg", "errMsg")
+    items = [{f.tag: f.text for f in item} for item in root.iter("item")]
+    total = said("totalCount")
+    return items, int(total) if total.isdigit() and int(total) else len(items), said("resultCode"), said("resultMsg")
+
+
+@dataclass
+class HttpFetcher:
+    """Reads pages over HTTP: ``base/operation?serviceKey=...&type=json&...``. Counts its calls, waits ``pause`` seconds after
+    each, and never shows its key: errors name the status or the exception's class. Can be sent to executors."""
+
+    base: str
+    key: str = field(repr=False)
+    timeout: float = 45.0
+    pause: float = 0.08
+    agent: str = "jangbu"
+    calls: int = 0
+
+    def __call__(self, operation: str, params: dict[str, object]) -> tuple[int, list[dict], int, str, str]:
+        query = urlencode({"serviceKey": decoded_key(self.key), "type": "json"} | {k: str(v) for k, v in params.items()})
+        request = Request(f"{self.base.rstrip('/')}/{operation}?{query}", headers={"User-Agent": self.agent})  # noqa: S310
+        self.calls += 1
+        try:
+            with urlopen(request, timeout=self.timeout) as answer:  # noqa: S310
+                status, text = answer.status, answer.read().decode("utf-8", "replace")
+        except HTTPError as e:
+            return e.code, [], 0, "", ""
+        time.sleep(self.pause)
+        items, total, code, message = envelope(text)
+        return status, items, total, code or ("00" if items else ""), message
+
+
+def http_fetcher() -> HttpFetcher:
+    """A fetcher for the address and key that the environment names."""
+    return HttpFetcher(os.environ["JANGBU_FEED_URL"], os.environ["JANGBU_SERVICE_KEY"])
+
+
 def get_page(fetch: Fetcher, operation: str, params: dict[str, object], attempts: int = 5, sleep: Callable[[float], None] = time.sleep) -> tuple[list[dict], int]:
     """Items and stated total of a page. Transient trouble is tried again with growing pauses, the rest never."""
     last: Exception = TransientError("no attempt")
     for n in range(attempts):
         try:
             status, items, total, code, message = fetch(operation, params)
+        except TransientError as e:
+            last = e
         except FeedError:
             raise
         except Exception as e:
@@ -73,7 +149,7 @@ def get_page(fetch: Fetcher, operation: str, params: dict[str, object], attempts
             else:
                 return items, total
         if n + 1 < attempts:
-            sleep(min(30.0, 2.0 ** (n + 1) + random.uniform(0.1, 1.0)))
+            sleep(min(30.0, 2.0**n + random.uniform(0.1, 1.0)))
     raise last
 
 
@@ -89,6 +165,10 @@ def pages(fetch: Fetcher, operation: str, params: dict[str, object], size: int,
         page += 1
 
 
+def _now() -> str:
+    return datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
 @dataclass
 class WindowPartition(InputPartition):
     operation: str
@@ -127,14 +207,24 @@ def feed_source(fetch: Fetcher, windows: Sequence[tuple[str, dict[str, object]]]
 @dataclass
 class Collector:
     """Collects windows into raw files. What is there, whole and recorded is skipped; what is whole but not recorded is
-    recorded; what is recorded but gone, or broken, is fetched again."""
+    recorded; what is recorded but gone, or broken, is fetched again.
+
+    Pages go to disk as they come, so a window of any length needs one page of memory. With ``receipts`` each page, and the
+    outcome of each attempt at a window, is one line appended to ``receipts.jsonl`` as it happens, with the run, the attempt
+    and the time; a crash loses none."""
 
     fetch: Fetcher
     folder: Path
     manifest: Manifest
     page_size: int = 500
-    receipts: list[dict] | None = None
-    attempts: list[dict] | None = None
+    receipts: bool = False
+    run_id: str = field(default_factory=lambda: uuid4().hex)
+
+    def _note(self, kind: str, **what: object) -> None:
+        if self.receipts:
+            Path(self.folder).mkdir(parents=True, exist_ok=True)
+            with (Path(self.folder) / "receipts.jsonl").open("a", encoding="utf-8") as out:
+                out.write(json.dumps({"kind": kind, "run_id": self.run_id, "at_utc": _now()} | what, ensure_ascii=False) + "\n")
 
     def collect(self, feed: Feed, start: str, end: str, category: str | None = None, force: bool = False, dry_run: bool = False) -> tuple[int, int, str]:
         """(rows, calls, what was done) for one window."""
@@ -159,27 +249,25 @@ class Collector:
         params: dict[str, object] = {feed.start_param: start.replace("-", "") + ("0000" if feed.minutes else ""), feed.end_param: end.replace("-", "") + ("2359" if feed.minutes else "")}
         if category:
             params["bsnsDivCd"] = category
-        rows: list[dict] = []
-        calls, expected = 0, None
+        calls, expected, attempt = 0, None, uuid4().hex
+        writer = WindowWriter(path, {"feed": feed.name, "operation": feed.operation, "window_start": start, "window_end": end, "business_code": category, "business_label": label, "page_size": self.page_size})
         try:
             for page, items, total in pages(self.fetch, feed.operation, params, self.page_size):
                 calls += 1
                 expected = total if expected is None else expected
-                rows += items
-                if self.receipts is not None:
-                    self.receipts.append({"window": key, "page_no": page, "reported_total_count": total} | page_receipt(items))
-        except Exception as e:
-            if self.attempts is not None:
-                self.attempts.append({"window": key, "status": "failed", "error": type(e).__name__})
+                writer.add(items)
+                self._note("page", attempt_id=attempt, window=key, page_no=page, reported_total_count=total, **page_receipt(items))
+        except BaseException as e:
+            writer.abandon()
+            self._note("attempt", attempt_id=attempt, window=key, status="failed", error=type(e).__name__)
             raise
-        now = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
-        write_window(path, rows, {"feed": feed.name, "operation": feed.operation, "window_start": start, "window_end": end, "business_code": category, "business_label": label, "page_size": self.page_size, "total_expected": expected, "api_calls": calls, "collected_at_utc": now})
-        self.manifest.record(Entry(feed.name, feed.operation, start, end, category, now, len(rows), expected, calls, "complete", path.name))
-        if self.attempts is not None:
-            self.attempts.append({"window": key, "status": "complete", "row_count": len(rows), "total_expected": expected})
-        return len(rows), calls, "fetched"
-
-    def run(self, feed: Feed, windows: Sequence[tuple[str, str, str | None]], max_windows: int | None = None, max_calls: int | None = None, **kw: bool) -> dict[str, int]:
+        now = _now()
+        writer.finish({"total_expected": expected, "api_calls": calls, "collected_at_utc": now})
+        self.manifest.record(Entry(feed.name, feed.operation, start, end, category, now, writer.rows, expected, calls, "complete", path.name))
+        self._note("attempt", attempt_id=attempt, window=key, status="complete", row_count=writer.rows, total_expected=expected)
+        return writer.rows, calls, "fetched"
+
+    def run(self, feed: Feed, windows: Sequence[tuple[str, str, str | None]], max_windows: int | None = None, max_calls: int | None = None, progress: Callable[[int, int, str], None] | None = None, **kw: bool) -> dict[str, int]:
         """All windows, or as many as the bounds allow; the bound on calls is looked at before each window."""
         stats = {"windows": 0, "rows": 0, "calls": 0, "skipped": 0}
         for start, end, category in windows:
@@ -190,4 +278,6 @@ class Collector:
             stats["rows"] += rows
             stats["calls"] += calls
             stats["skipped"] += done == "skipped"
+            if progress:
+                progress(stats["windows"], len(windows), f"{start} {category or 'all'} {done}, {rows} rows")
         return stats

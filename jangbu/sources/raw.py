@@ -6,8 +6,9 @@ import gzip
 import json
 import os
 import shutil
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import asdict, dataclass
+from functools import reduce
 from pathlib import Path
 
 import pandas as pd
@@ -35,17 +36,63 @@ def split_meta(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return metas, records
 
 
-def write_window(path: str | Path, items: list[dict], meta: dict) -> None:
-    """A complete window file under its name, or none: it is renamed when it is whole."""
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    part = path.with_name(path.name + ".part")
-    with gzip.open(part, "wt", encoding="utf-8") as out:
-        out.write(json.dumps({META: meta | {"status": "running"}}, ensure_ascii=False) + "\n")
+class WindowWriter:
+    """Writes a window record by record into a part file, which gets its name only when it is whole."""
+
+    def __init__(self, path: str | Path, meta: dict) -> None:
+        self.path, self.meta, self.rows = Path(path), meta, 0
+        self.path.parent.mkdir(parents=True, exist_ok=True)
+        self.part = self.path.with_name(self.path.name + ".part")
+        self.out = gzip.open(self.part, "wt", encoding="utf-8")
+        self._line({META: meta | {"status": "running"}})
+
+    def _line(self, value: dict) -> None:
+        self.out.write(json.dumps(value, ensure_ascii=False) + "\n")
+
+    def add(self, items: Iterable[dict]) -> None:
         for item in items:
-            out.write(json.dumps(item, ensure_ascii=False) + "\n")
-        out.write(json.dumps({META: meta | {"status": "complete", "rows": len(items)}}, ensure_ascii=False) + "\n")
-    os.replace(part, path)
+            self._line(item)
+            self.rows += 1
+
+    def finish(self, meta: dict | None = None) -> None:
+        self._line({META: self.meta | (meta or {}) | {"status": "complete", "rows": self.rows}})
+        self.out.close()
+        os.replace(self.part, self.path)
+
+    def abandon(self) -> None:
+        self.out.close()
+        self.part.unlink(missing_ok=True)
+
+
+def write_window(path: str | Path, items: Iterable[dict], meta: dict) -> None:
+    """A complete window file under its name, or none: it is renamed when it is whole."""
+    w = WindowWriter(path, meta)
+    try:
+        w.add(items)
+    except BaseException:
+        w.abandon()
+        raise
+    w.finish()
+
+
+def write_window_files(lines: DataFrame, folder: str, file: str, order: str, payload: str, feed: str) -> DataFrame:
+    """Window files made of lines, each by one task: ``file_name, rows``. A line that is no JSON object is left out. ``folder`` is
+    one that all tasks see; a file that a lost task left half written never gets its name."""
+
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        name = pdf[file].iloc[0]
+        items = []
+        for text in pdf.sort_values(order)[payload]:
+            try:
+                item = json.loads(text)
+            except (TypeError, ValueError):
+                continue
+            if isinstance(item, dict):
+                items.append(item)
+        write_window(Path(folder) / name, items, {"feed": feed, "window_start": str(pdf.window_start.iloc[0]), "window_end": str(pdf.window_end.iloc[0])})
+        return pd.DataFrame({"file_name": [name], "rows": [len(items)]})
+
+    return lines.select(file, order, payload, "window_start", "window_end").groupBy(file).applyInPandas(write, "file_name string, rows long")
 
 
 def check_windows(plan: DataFrame, folder: str) -> DataFrame:
@@ -125,6 +172,37 @@ def plan_audit(plan: DataFrame, manifest: DataFrame, present: DataFrame) -> Data
     return out
 
 
+def plan_findings(plan: DataFrame, manifest: DataFrame, present: DataFrame) -> DataFrame:
+    """The windows and files behind the counts of ``plan_audit``, by name: ``finding, name``."""
+    p = plan.select("manifest_key", "file_name").distinct()
+    m = manifest.select("manifest_key", "status").distinct()
+    f = present.select("file_name").distinct()
+    findings = {
+        "missing_manifest": p.join(m, "manifest_key", "left_anti").select("manifest_key"),
+        "missing_file": p.join(f, "file_name", "left_anti").select("file_name"),
+        "not_complete": p.join(m.where("status <> 'complete'"), "manifest_key", "left_semi").select("manifest_key"),
+        "unplanned_manifest": m.join(p, "manifest_key", "left_anti").select("manifest_key"),
+        "unplanned_file": f.join(p, "file_name", "left_anti").select("file_name"),
+    }
+    return reduce(DataFrame.unionByName, [df.toDF("name").select(F.lit(w).alias("finding"), "name") for w, df in findings.items()])
+
+
+def manifest_in_scope(manifest: DataFrame, start: str, end: str) -> DataFrame:
+    """Entries whose window lies wholly within the scope; days are compared as texts, so entries without one are out."""
+    return manifest.where((F.col("start") >= start) & (F.col("end") <= end))
+
+
+def files_in_scope(files: DataFrame, name: str, start: str, end: str) -> DataFrame:
+    """Files whose name states two days, wholly within the scope; others are out."""
+    days = [F.regexp_extract(name, r"(\d{8})_(\d{8})", k) for k in (1, 2)]
+    return files.where((days[0] != "") & (days[0] >= start.replace("-", "")) & (days[1] <= end.replace("-", "")))
+
+
+def records_in_scope(records: DataFrame, field: str, start: str, end: str) -> DataFrame:
+    """Raw records whose own text in ``field`` begins with a day of the scope; records without the field are out."""
+    return records.where(F.substring(F.col("record")[field], 1, 10).between(start, end))
+
+
 @dataclass
 class Entry:
     """What is known of a collected window."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,17 +15,18 @@ from jangbu.sources.schemas import BIDDER_REPORT
 ENCODINGS = ("utf-8-sig", "cp949", "euc-kr", "utf-8")
 
 
-def detect_encoding(path: str | Path, sample: int = 1 << 20) -> str:
-    """The first encoding that decodes the file's beginning; an error if none does."""
-    with Path(path).open("rb") as f:
-        head = f.read(sample)
+def detect_encoding(path: str | Path, block: int = 1 << 20) -> str:
+    """The first encoding that decodes the whole file, read block by block; an error if none does."""
     for e in ENCODINGS:
+        decoder = codecs.getincrementaldecoder(e)()
         try:
-            head.decode(e)
+            with Path(path).open("rb") as f:
+                while data := f.read(block):
+                    decoder.decode(data)
+            decoder.decode(b"", True)
             return e
-        except UnicodeDecodeError as x:
-            if len(head) == sample and x.start > len(head) - 4:  # a character cut by the sample's end
-                return e
+        except UnicodeDecodeError:
+            continue
     raise ValueError(f"{path}: none of {', '.join(ENCODINGS)} decodes it")
 
 

@@ -85,3 +85,16 @@ def test_content_hash_ignores_order(spark):
 
 def test_ratio_of_nothing(spark):
     assert spark.createDataFrame([(0, 0), (1, 3)], "a int, b int").select(C.ratio(F.col("a"), F.col("b"), 4)).collect() == [(0.0,), (0.3333,)]
+
+
+def test_moments_in_every_notation(spark):
+    good = {"2026-01-05T10:00:00": "2026-01-05 10:00:00", "2026/1/5": "2026-01-05 00:00:00", "2026.01.05 10:00": "2026-01-05 10:00:00", "2026-1-5": "2026-01-05 00:00:00", "2026년 1월 5일": "2026-01-05 00:00:00", "20260105": "2026-01-05 00:00:00", "202601051030": "2026-01-05 10:30:00", "2026-01": "2026-01-01 00:00:00", "2026": "2026-01-01 00:00:00", " 2026-01-05 ": "2026-01-05 00:00:00", "2026-01-05T10:00:00.123Z": "2026-01-05 10:00:00", "2026. 1. 5.": "2026-01-05 00:00:00"}
+    bad = ["2026-02-30", "10:00", "2026-13-01", "26-1-5", "2026-01-05 25:00", "", "x", None, "2026-01-05 and more"]
+    got = spark.createDataFrame([(x,) for x in [*good, *bad]], "x string").select("x", F.date_format(C.moment("x"), "yyyy-MM-dd HH:mm:ss").alias("m"))
+    assert {r.x: r.m for r in got.collect()} == good | dict.fromkeys(bad)
+
+
+def test_award_methods_and_keys(spark):
+    df = spark.createDataFrame([("적격심사제",), ("소액수의 견적",), ("협상에 의한 계약",), ("x",), (None,)], "m string")
+    assert [r[0] for r in df.select(C.award_method_label("m")).collect()] == ["qualification_review", "small_sum_private", "negotiation", "other", "other"]
+    assert C.decoded_key(" a%2Bb%3D%3D ") == "a+b==" and C.decoded_key("plain") == "plain"

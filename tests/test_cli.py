@@ -52,9 +52,38 @@ def test_from_collection_to_release(spark, tmp_path, monkeypatch, capsys):
     assert run("release", "--curated", curated, "--out", out, *SCOPE) == 0
     lines = (tmp_path / "out" / "quickstart.csv").read_text().splitlines()
     assert len(lines) == 2 and "N1" in lines[1] and "88.5" in lines[1]
+    audit = ["audit", "--raw", raw, "--processed", processed, *SCOPE, "--strict", "--out", str(tmp_path / "audit.json")]
+    assert run(*audit) == 0
+    said = json.loads((tmp_path / "audit.json").read_text())
+    assert said["critical"] == [] and said["plan"] == [] and {r["feed"]: r["build_rows_after"] for r in said["reconciliation"]} == {"bids": 1, "awards": 1, "contracts": 1}
+    next((tmp_path / "raw" / "bids").glob("*.gz")).rename(tmp_path / "gone")
+    assert run(*audit) == 1
+    assert {x["finding"] for x in json.loads((tmp_path / "audit.json").read_text())["plan"]} == {"missing_file"}
+    assert run("quickstart", "--releases", str(tmp_path), "--out", str(tmp_path / "again.csv")) == 0
+    assert (tmp_path / "again.csv").read_text() == (tmp_path / "out" / "quickstart.csv").read_text()
+    assert run("quickstart", "--releases", str(tmp_path / "raw"), "--out", str(tmp_path / "x.csv")) == 1
+    columns = {c for t in (tmp_path / "out").iterdir() if t.is_dir() for c in spark.read.parquet(str(t)).columns}
+    (tmp_path / "d.json").write_text(json.dumps(dict.fromkeys(columns, "a column")))
+    catalogue = ["catalogue", "--release", out, "--descriptions", str(tmp_path / "d.json"), "--slug", "some-slug", "--out", str(tmp_path / "c.json")]
+    assert run(*catalogue, "--owner", "an-owner") == 0 and len(json.loads((tmp_path / "c.json").read_text())["resources"]) == 7
+    (tmp_path / "d.json").write_text("{}")
+    assert run(*catalogue, "--owner", "an-owner") == 1
     assert run("quality", "--out", str(tmp_path / "q.json"), "--strict", f"{out}/tenders", f"{out}/none") == 1
 
 
+def test_a_changed_file_needs_force(spark, tmp_path, monkeypatch):
+    from jangbu.sources.raw import write_window
+
+    meta = {"feed": "bids", "window_start": "2026-08-01", "window_end": "2026-08-09"}
+    path = tmp_path / "raw" / "bids" / "bids_all_20260801_20260809.jsonl.gz"
+    build = ["build", "--raw", str(tmp_path / "raw"), "--out", str(tmp_path / "p"), "--feeds", "bids"]
+    write_window(path, [NOTICE], meta)
+    assert main(build, spark) == 0
+    write_window(path, [NOTICE, NOTICE | {"bidNtceNo": "N2"}], meta)
+    assert main(build, spark) == 1 and main([*build, "--force"], spark) == 0
+    assert spark.read.parquet(str(tmp_path / "p" / "bids")).count() == 2
+
+
 @pytest.mark.parametrize("fetcher,code", [("refuse", 2), ("exhausted", 3)])
 def test_exit_codes(spark, tmp_path, fetcher, code):
     assert main(["collect", "--raw", str(tmp_path), *SCOPE, "--feeds", "bids", "--fetcher", f"tests.test_cli:{fetcher}"], spark) == code

@@ -12,7 +12,7 @@ from jangbu.sources import feed as S
 from jangbu.sources import raw as W
 from jangbu.sources import sinks
 from jangbu.sources.envelope import from_json_envelope, from_xml_envelope
-from jangbu.sources.report import normalized_report, read_report
+from jangbu.sources.report import detect_encoding, normalized_report, read_report
 from jangbu.sources.schemas import kind_of
 from jangbu.sources.windows import FEEDS, fixed_windows, month_scopes, month_windows, plan
 from tests.conftest import rows
@@ -175,6 +175,17 @@ def test_report_csv(spark, tmp_path, encoding):
         read_report(spark, tmp_path / "x.txt")
 
 
+def test_encoding_is_that_of_the_whole_file(tmp_path):
+    path = tmp_path / "late.csv"
+    path.write_bytes(b"a,b\n" + b"1,2\n" * 400_000 + "가,나\n".encode("cp949"))
+    assert detect_encoding(path) == "cp949"
+    path.write_bytes(b"x" * ((1 << 20) - 1) + "가".encode() + b"\n")
+    assert detect_encoding(path) == "utf-8-sig"
+    path.write_bytes(b"\xff\xff\xff")
+    with pytest.raises(ValueError, match="none of"):
+        detect_encoding(path)
+
+
 def test_report_workbook(spark, tmp_path):
     pytest.importorskip("openpyxl")
     import pandas as pd
@@ -228,7 +239,7 @@ def test_paging_stops():
 def test_collector_cases(tmp_path):
     m = W.Manifest(tmp_path / "m.json")
     fetch, calls = fetcher([(200, [{"a": 1}], 1, "00", "")])
-    c = S.Collector(fetch, tmp_path / "raw", m, receipts=[], attempts=[])
+    c = S.Collector(fetch, tmp_path / "raw", m, receipts=True)
     f, w = FEEDS["bids"], ("2026-08-01", "2026-08-31")
     assert c.collect(f, *w, dry_run=True) == (0, 0, "planned") and not calls
     assert c.collect(f, *w) == (1, 1, "fetched")
@@ -241,18 +252,101 @@ def test_collector_cases(tmp_path):
     path.write_bytes(b"broken")
     assert c.collect(f, *w) == (1, 1, "fetched")
     assert c.collect(f, *w, force=True) == (1, 1, "fetched")
-    assert len(c.receipts) == 4 and c.receipts[0]["page_row_count"] == 1
+    noted = [json.loads(x) for x in (tmp_path / "raw" / "receipts.jsonl").read_text().splitlines()]
+    assert [x["kind"] for x in noted] == ["page", "attempt"] * 4 and noted[0]["page_row_count"] == 1
+    assert len({x["run_id"] for x in noted}) == 1 and len({x["attempt_id"] for x in noted}) == 4
+    seen = []
+    c.run(f, [(*w, None)], progress=lambda *x: seen.append(x))
+    assert seen == [(1, 1, "2026-08-01 all skipped, 0 rows")]
     assert c.run(f, [(*w, None)] * 3, max_windows=2) == {"windows": 2, "rows": 0, "calls": 0, "skipped": 2}
     assert c.run(f, [(*w, None)] * 3, max_calls=1, force=True)["windows"] == 1
 
 
 def test_failed_attempt_names_only_the_error(tmp_path):
     fetch, _ = fetcher([(200, [{"a": 1}] * 2, 9, "00", ""), S.PermanentError("secret text")])
-    c = S.Collector(fetch, tmp_path / "raw", W.Manifest(tmp_path / "m.json"), page_size=2, receipts=[], attempts=[])
+    c = S.Collector(fetch, tmp_path / "raw", W.Manifest(tmp_path / "m.json"), page_size=2, receipts=True)
     with pytest.raises(S.PermanentError):
         c.collect(FEEDS["bids"], "2026-08-01", "2026-08-31")
-    assert c.attempts == [{"window": "bids::all::2026-08-01::2026-08-31", "status": "failed", "error": "PermanentError"}]
-    assert not list((tmp_path / "raw").rglob("*.gz"))
+    text = (tmp_path / "raw" / "receipts.jsonl").read_text()
+    last = json.loads(text.splitlines()[-1])
+    assert (last["kind"], last["status"], last["error"]) == ("attempt", "failed", "PermanentError") and "secret" not in text and len(text.splitlines()) == 2
+    assert not [p for p in (tmp_path / "raw").rglob("*") if p.suffix in {".gz", ".part"}]
+    c.fetch, _ = fetcher([(200, [{"a": 1}] * 2, 3, "00", ""), (200, [{"a": 1}], 3, "00", "")])
+    c.collect(FEEDS["bids"], "2026-08-01", "2026-08-31")
+    lines = [json.loads(x) for x in (tmp_path / "raw" / "receipts.jsonl").read_text().splitlines()]
+    assert [x["kind"] for x in lines] == ["page", "attempt", "page", "page", "attempt"] and len({x["run_id"] for x in lines}) == 1 and len({x["attempt_id"] for x in lines}) == 2
+
+
+def test_pages_go_to_disk_as_they_come(tmp_path):
+    sizes = []
+
+    def fetch(operation, params):
+        part = next((tmp_path / "raw").rglob("*.part"), None)
+        sizes.append(part is not None)
+        return 200, [{"n": params["pageNo"], "x": "y" * 50}] * 3, 9, "00", ""
+
+    assert S.Collector(fetch, tmp_path / "raw", W.Manifest(tmp_path / "m.json"), page_size=3).collect(FEEDS["bids"], "2026-08-01", "2026-08-31")[:2] == (9, 3)
+    assert sizes == [True, True, True]
+
+
+@pytest.fixture
+def server():
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    answers, asked = [], []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked.append((self.path, self.headers["User-Agent"]))
+            status, text = answers.pop(0)
+            self.send_response(status)
+            self.end_headers()
+            self.wfile.write(text.encode())
+
+        def log_message(self, *_):
+            pass
+
+    http = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=http.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{http.server_port}/svc", answers, asked
+    http.shutdown()
+    http.server_close()
+
+
+PAGE = '{"response": {"header": {"resultCode": "00", "resultMsg": "OK"}, "body": {"items": %s, "totalCount": "%d"}}}'
+
+
+def test_http(server, tmp_path):
+    base, answers, asked = server
+    fetch = S.HttpFetcher(base, " a%2Bb%3D ", pause=0)
+    answers += [(500, "oops"), (200, PAGE % ('[{"a": 1}, {"a": 2}]', 3)), (200, PAGE % ('{"item": {"a": 3}}', 3))]
+    assert [(p, len(i), t) for p, i, t in S.pages(fetch, "op", {"from": "x y"}, 2, sleep=lambda _: None)] == [(1, 2, 3), (2, 1, 3)]
+    assert fetch.calls == 3 and "serviceKey=a%2Bb%3D" in asked[0][0] and "type=json" in asked[0][0] and "from=x+y" in asked[0][0] and asked[0][1] == "jangbu" and "a+b" not in repr(fetch)
+    answers += [(200, "<OpenAPI_ServiceResponse><cmmMsgHeader><errMsg>E</errMsg><returnAuthMsg>no key</returnAuthMsg><returnReasonCode>30</returnReasonCode></cmmMsgHeader></OpenAPI_ServiceResponse>")]
+    with pytest.raises(S.AuthError, match="no key"):
+        S.get_page(fetch, "op", {})
+    for status, text, error in ((404, "gone", S.PermanentError), (200, '{"x": 1}', S.PermanentError), (200, PAGE % ('"text"', 1), S.PermanentError)):
+        answers.append((status, text))
+        before = fetch.calls
+        with pytest.raises(error):
+            S.get_page(fetch, "op", {}, sleep=lambda _: None)
+        assert fetch.calls == before + 1
+    answers += [(200, "neither"), (200, "<response><header><resultCode>00</resultCode></header><body><items><item><a>1</a></item></items><totalCount>1</totalCount></body></response>")]
+    assert S.get_page(fetch, "op", {}, sleep=lambda _: None) == ([{"a": "1"}], 1)
+    answers += [(200, PAGE % ("null", 0))]
+    assert S.get_page(fetch, "op", {}) == ([], 0)
+    answers += [(200, PAGE % ('[{"a": 1}]', 1))]
+    assert S.Collector(fetch, tmp_path / "raw", W.Manifest(tmp_path / "m.json")).collect(FEEDS["bids"], "2026-08-01", "2026-08-31") == (1, 1, "fetched")
+
+
+def test_scopes_and_names(spark):
+    m = spark.createDataFrame([("a", "2026-01-01", "2026-01-31"), ("b", "2026-01-01", "2026-02-01"), ("c", None, None)], "k string, start string, end string")
+    assert rows(W.manifest_in_scope(m, "2026-01-01", "2026-01-31").select("k")) == [("a",)]
+    f = spark.createDataFrame([("x_20260101_20260131.jsonl.gz",), ("x_20260101_20260201.jsonl.gz",), ("x.gz",)], "n string")
+    assert [r.n for r in W.files_in_scope(f, "n", "2026-01-01", "2026-01-31").collect()] == ["x_20260101_20260131.jsonl.gz"]
+    r = records(spark, [("f", 1, {"d": "2026-01-05 10:00"}), ("f", 2, {"d": "2026-02-05"}), ("f", 3, {"e": "1"})])
+    assert [x.pos for x in W.records_in_scope(r, "d", "2026-01-01", "2026-01-31").collect()] == [1]
 
 
 def test_feed_as_data_source(spark):
