@@ -188,8 +188,12 @@ def packed(sizes: DataFrame, capacity: int = CAPACITY, shard_items: int = SHARD_
 
 
 def fill_report(placed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """One row: containers, fewest that the sizes could need, share of room unused, fullest, and texts by kind."""
-    bins = placed.where("container_id is not null").groupBy("container_id").agg(F.sum("tokens").alias("filled"), F.count(F.lit(1)).alias("items"))
+    """One row: containers, fewest that the sizes could need, share of room unused, fullest, and texts by kind; ``sources_met``
+    and ``copies_met`` are the texts beyond the first of a source, or of a group of copies, in their containers."""
+    placed = cut(placed)
+    items = placed.where("container_id is not null")
+    beyond = lambda key, name: items.where(F.col(key).isNotNull()).groupBy("container_id", key).agg((F.count_distinct("doc_id") - 1).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias(name))
+    bins = items.groupBy("container_id").agg(F.sum("tokens").alias("filled"), F.count(F.lit(1)).alias("items"))
     of_bins = bins.agg(
         F.count(F.lit(1)).alias("containers"),
         F.ceil(F.sum("filled") / capacity).alias("fewest_possible"),
@@ -198,4 +202,18 @@ def fill_report(placed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         F.sum("items").alias("pieces"),
     )
     of_docs = placed.agg(F.count_if(F.col("container_id").isNull()).alias("empty_texts"), F.sum("tokens").alias("tokens"))
-    return of_bins.join(F.broadcast(of_docs))
+    return of_bins.join(F.broadcast(of_docs)).join(F.broadcast(beyond("source", "sources_met"))).join(F.broadcast(beyond("cluster", "copies_met")))  # one row each
+
+
+def faults(placed: DataFrame, docs: DataFrame, capacity: int = CAPACITY, doc_id: str = "doc_id") -> DataFrame:
+    """What a packing must not have, ``fault, name``: containers above capacity, texts within it that are split, texts whose
+    pieces don't follow each other from the first token on, and texts that are lost. No rows if it is whole."""
+    placed = cut(placed)
+    over = placed.where("container_id is not null").groupBy("container_id").agg(F.sum("tokens").alias("n")).where(F.col("n") > capacity)
+    per = placed.groupBy("doc_id").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("parts"), F.count_distinct("part").alias("different"), F.max(F.col("token_from") + F.col("tokens")).alias("reach"))
+    one = per.where("parts = different")  # repeated ids are texts of their own
+    split = one.where((F.col("parts") > 1) & (F.col("tokens") <= capacity))
+    gaps = one.where("reach <> tokens")
+    lost = docs.select(F.col(doc_id).alias("doc_id")).distinct().join(placed.select("doc_id").distinct(), "doc_id", "left_anti")
+    name = lambda df, what, key: df.select(F.lit(what).alias("fault"), F.col(key).cast("string").alias("name"))
+    return name(over, "over capacity", "container_id").unionByName(name(split, "split", "doc_id")).unionByName(name(gaps, "gap", "doc_id")).unionByName(name(lost, "lost", "doc_id"))

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from jangbu.functions.text import WHITE_SPACE, blank_to_null
 from jangbu.llm.agencies import LEAST_TRUST, MONTHLY, agency_survivors
 from jangbu.llm.leakage import leaks, without_leaks
-from jangbu.llm.packing import fill_report, measured, packed
+from jangbu.llm.packing import faults, fill_report, measured, packed
 from jangbu.llm.percentiles import merged, percentiles, summarise
 from jangbu.llm.surrogates import collisions, entities, pii_found, protected, redacted
+from jangbu.operators.selection import exact_quantiles
 from jangbu.session import cut, table
 
 PROBS = (0.05, 0.25, 0.5, 0.75, 0.95)
@@ -38,6 +39,17 @@ def p1_award_rate_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return percentiles(summarise(_rates(spark, sf_dir), keys, "award_rate", RATE_ERROR), keys, PROBS, RATE_ERROR)
 
 
+def p1_award_rate_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The percentiles per division beside the exact ones of the raw values, selected by refined histograms: ``exact`` and
+    whether the percentile is within its stated error of it."""
+    key = "business_div_name_ko"
+    rates = _rates(spark, sf_dir)
+    near = percentiles(merged([summarise(rates, [key, "load_batch"], "award_rate", RATE_ERROR)], [key]), [key], PROBS, RATE_ERROR)
+    exact = exact_quantiles(rates, [key], "award_rate", PROBS).select(F.col(key).alias("_key"), F.col("prob").alias("_prob"), F.col("value").alias("exact"))
+    both = near.join(exact, F.col(key).eqNullSafe(F.col("_key")) & (F.col("prob") == F.col("_prob")))
+    return both.select(key, "prob", "n", "exact", (F.abs(F.col("value") - F.col("exact")) <= F.col("error") + 1e-9).alias("within_error"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agency_survivors(table(spark, sf_dir, "agencies")).select("field_name", F.col("best.record_id").alias("record_id"))
 
@@ -64,6 +76,11 @@ def p7_fill_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_report(_placed(spark, sf_dir))
 
 
+def p7_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers and texts that break the packing's rules: no rows."""
+    return faults(_placed(spark, sf_dir), table(spark, sf_dir, "documents"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
@@ -148,10 +165,12 @@ won as (
 QUERIES = {
     "p1_award_rate_percentiles": p1_award_rate_percentiles,
     "p1_award_rate_by_load": p1_award_rate_by_load,
+    "p1_award_rate_bounds": p1_award_rate_bounds,
     "p4_found": p4_found,
     "p4_survivors": p4_survivors,
     "p7_containers": p7_containers,
     "p7_fill_report": p7_fill_report,
+    "p7_faults": p7_faults,
     "p8_found": p8_found,
     "p8_decontaminated": p8_decontaminated,
     "p9_found": p9_found,
@@ -160,6 +179,14 @@ QUERIES = {
     "p9_left_over": p9_left_over,
 }
 SQL = {
+    "p7_faults": "select '' as fault, '' as name from documents where false",
+    "p1_award_rate_bounds": f"""
+with divisions as (
+  select {_trim('bid_notice_no')} as no, {_trim('bid_notice_round')} as round, min(nullif({_trim('business_div_name_ko')}, '')) as business_div_name_ko
+  from tenders where {_trim('bid_notice_no')} <> '' and {_trim('bid_notice_round')} <> '' group by 1, 2),
+rates as (select d.business_div_name_ko, award_rate from award_outcomes a left join divisions d on {_trim('a.bid_notice_no')} = d.no and {_trim('a.bid_notice_round')} = d.round where award_rate between 0 and 100),
+ranked as (select *, row_number() over (partition by business_div_name_ko order by award_rate) as rn, count(*) over (partition by business_div_name_ko) as n from rates)
+select business_div_name_ko, prob, n, award_rate as exact, true as within_error from ranked, (values {', '.join(f'({p}::double)' for p in PROBS)}) t(prob) where rn = greatest(1, ceil(round(prob * n, 9)))""",
     "p9_left_over": 'select doc_id, 0::bigint as "left" from documents where false',
     "p1_award_rate_percentiles": _sql_percentiles("business_div_name_ko"),
     "p1_award_rate_by_load": _sql_percentiles("business_div_name_ko, load_batch"),

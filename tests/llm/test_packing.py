@@ -7,7 +7,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from jangbu.llm import packing as P
 from jangbu.llm.packing import fill_report, fingerprint, measured, pack_items, packed, tokenizer, VOCABULARY
+from tests.conftest import rows
 
 
 @settings(max_examples=80, deadline=None)
@@ -93,3 +95,12 @@ def test_shards_lose_nothing(spark):
 @pytest.mark.parametrize("text", ["가" * 50_000, "a" * 50_000, " " * 50_000])
 def test_very_long_texts_are_measured(text):
     assert len(tokenizer(VOCABULARY).encode_ordinary(text)) > 0
+
+
+def test_faults_are_seen(spark):
+    placed = [("m-0-0", 1, 0, 0, 60, "a", 1), ("m-0-0", 2, 0, 0, 60, "a", 1), ("m-0-1", 3, 0, 0, 30, "a", 2), ("m-0-2", 3, 1, 30, 30, "a", 2), ("m-0-3", 4, 1, 90, 10, "b", 3), (None, 5, 0, 0, 0, "b", 4)]
+    df = spark.createDataFrame(placed, P.PLACED)
+    docs = spark.createDataFrame([(k,) for k in range(1, 7)], "doc_id long")
+    assert rows(P.faults(df, docs, capacity=100)) == [("gap", "4"), ("lost", "6"), ("over capacity", "m-0-0"), ("split", "3")]
+    r = P.fill_report(df, capacity=100).first()
+    assert (r.containers, r.fullest, r.sources_met, r.copies_met, r.empty_texts) == (4, 120, 1, 1, 1)
