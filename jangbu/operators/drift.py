@@ -77,9 +77,9 @@ def cells(lines: DataFrame, stream: str, file: str, order: str, payload: str, ke
     )
     keys = [key_field] if isinstance(key_field, str) else key_field
     keyed = parsed.withColumn("rec", F.coalesce(*[blank_to_null(F.try_variant_get("doc", f"$['{k}']", "string")) for k in keys]))
-    exploded = keyed.lateralJoin(parsed.sparkSession.tvf.variant_explode(F.col("doc").outer())).where("key is not null")
+    exploded = keyed.lateralJoin(parsed.sparkSession.tvf.variant_explode(F.col("doc").outer())).where(F.col("key").isNotNull() & ~F.is_variant_null("value"))  # asks for no type, so that who needs none has none worked out
     kinds = exploded.select("stream", "file", "ord", "line", "rec", F.col("key").alias("field"), F.schema_of_variant("value").alias("kind"), F.col("value").cast("string").alias("text"))
-    return kinds.select("stream", "file", "ord", "line", "rec", "field", json_type(F.col("kind")).alias("type"), "text").where("type is not null")
+    return kinds.select("stream", "file", "ord", "line", "rec", "field", json_type(F.col("kind")).alias("type"), "text")
 
 
 def field_profile(found: DataFrame) -> DataFrame:
@@ -234,7 +234,9 @@ def match_fields(scores: DataFrame, least_share: float, least_agree: int) -> Dat
         return pd.DataFrame({"stream": group.stream.iloc[0], "file": group.file.iloc[0], "old_field": [a for a, _ in got], "new_field": [b for _, b in got]})
 
     likely = scores.where((F.col("agree") >= least_agree) & (F.col("agree") >= least_share * F.col("shared")))
-    return likely.select("stream", "file", "old_field", "new_field", "shared", "agree", "names", "types").groupBy("stream", "file").applyInPandas(match, RENAMES)
+    tasks = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = likely.select("stream", "file", "old_field", "new_field", "shared", "agree", "names", "types").repartition(tasks, "stream", "file")  # few bytes but much work a row, which sizes alone would put into one task
+    return spread.groupBy("stream", "file").applyInPandas(match, RENAMES)
 
 
 def drift(found: DataFrame, least_share: float = 0.7, least_agree: int = 2, key: str | None = None, again: Callable[[list[str]], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
