@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jangbu.plans import cleaning, curation, drift, files, history, market, profile, references, relations, selection
+from jangbu.plans import cleaning, curation, drift, files, history, market, outputs, profile, references, relations, selection
 
-MODULES = (curation, market, files, history, cleaning, relations, references, drift, selection, profile)
+MODULES = (curation, market, files, history, outputs, cleaning, relations, references, drift, selection, profile)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
