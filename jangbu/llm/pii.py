@@ -50,6 +50,8 @@ _PHONE = re.compile(
 _ID = re.compile(
     r"(?<![\dA-Za-z.,])(?<!\d[-–—‐－])(?:(?P<birth>\d{6})\s?[-–—‐－]?\s?[1-8]\d{6}|\d{2}[-–—‐－]\d{2}[-–—‐－]\d{6}[-–—‐－]\d{2}|[MSRGDOPT](?:\d{8}|\d{3}[A-Z]\d{4}))(?![\dA-Za-z]|[-–—‐－]\d)"
 )
+#: Where such numbers can begin; the full patterns are tried only there.
+_PHONE_START, _ID_START = re.compile(r"[+＋0０]"), re.compile(r"[0-9](?:\d{5}|\d[-–—‐－]\d{2}[-–—‐－])|[MSRGDOPT]\d{3}")
 _LABELLED = re.compile(r"(?:(?P<ko>[가-힣 ]*?(?:번호|코드))|(?P<en>[Nn]umber|[Cc]ode|[Ff]ile|[Ii]tem))\s*[:：.]?\s*(?:은|는)?\s*\Z")
 _OWN_NUMBER = re.compile(r"(?:주민|외국인|여권|면허|신분|생년|등록증|전화|연락|휴대|핸드폰|팩스|비상|identity|ID|passport|licen[cs]e|phone|mobile|contact)[가-힣 A-Za-z]*\Z", re.I)
 _FIRM_NUMBER = re.compile(r"(?:사업자|법인|물품|문서|도면|관리|공고|계약|발급|접수|제품|품목|분류|계좌|송장|product|item|file|tender|notice)[가-힣 A-Za-z]*\Z", re.I)
@@ -78,7 +80,8 @@ _ANY_TITLED = re.compile(rf"{_ANY_NAME}(?:\s(?:{_TITLE})|(?:님|씨))(?![가-힣
 _ANY_LABELLED = re.compile(rf"(?:{'|'.join(LABELS.split())})(?:(?:은|는|이|가)?\s(?:성명\s?)?|\s?(?:성명\s?)?[:：]\s?){_ANY_NAME}(?=이고|이며|이다|입니다|에게|(?:님|씨|은|는|이|가|을|를|의|께)(?![가-힣])|\s?[/|,.)(;]|\s?$|\s(?:{_TITLE}))")
 _ANY_LISTED = re.compile(rf"\s*(?P<name>[가-힣] ?[가-힣]{{2}}|[가-힣] [가-힣] [가-힣])(?=\s*(?:\Z|[,、·.<(（])|\s(?:{_TITLE}))")
 #: Two capitalised words, and what speaks for a person before and behind them.
-_TWO_WORDS = re.compile(r"(?<![A-Za-z@._+-])(?P<a>[A-Z][a-z]+(?:-[a-z]+)?|[A-Z]{2,}),? (?P<b>[A-Z][a-z]+(?:-[a-z]+)?)(?![A-Za-z@_+-])(?!\.[A-Za-z])")
+_JOINED = re.compile(r"[A-Za-z@._+-]")
+_TWO_WORDS = re.compile(r"(?P<a>[A-Z][a-z]+(?:-[a-z]+)?|[A-Z]{2,}),? (?P<b>[A-Z][a-z]+(?:-[a-z]+)?)(?![A-Za-z@_+-])(?!\.[A-Za-z])")
 _PERSON_BEFORE = re.compile(r"(?:\b(?:[Mm]anager|[Oo]fficer|[Ii]nspector|[Ee]ngineer|[Cc]ontact|[Aa]pplicant|[Cc]lerk|[Dd]irector|[Ss]upervisor|[Ss]ecretary|[Ww]itness)(?:\s(?:is|was))?:?\s|\b(?:Mr|Ms|Mrs|Dr)\.?\s|\b(?:Dear|Attn:?|Regards,|Sincerely,)\s|\b(?:taken|signed|signed for|written|prepared|approved|checked|received|inspected|reported|issued)\sby\s|\b(?:[Qq]uestions|[Ii]nquiries|[Rr]eplies|[Mm]ail)\s(?:go|to go|are|should go)\sto\s)\Z")
 _PERSON_BEHIND = re.compile(r"\s?\((?:mobile|phone|tel)|,\sID\s|;\scopied\sto|\sor\sby\sphone|\s(?:of|from)\s[A-Z][A-Za-z]+(?:\s[A-Z][A-Za-z]+)*\s(?:asked|said|wrote|replied|reported|confirmed|called|signed)\b|\s(?:asked|said|wrote|replied|called)\b|\sat\s\S+\s?(?:@|\(at\)|\[at\])|\s<[^<>@\s]+@")
 _ONE_NAME = re.compile(rf"{_NAME}\Z")
@@ -135,14 +138,23 @@ def _mails(text: str) -> Iterator[Span]:
         yield Span(start, domain.end(), "email")
 
 
+def _tried(start: re.Pattern[str], full: re.Pattern[str], text: str) -> Iterator[re.Match[str]]:
+    """The matches of ``full`` that begin where ``start`` does, none within another."""
+    last = 0
+    for x in start.finditer(text):
+        if x.start() >= last and (m := full.match(text, x.start())):
+            last = m.end()
+            yield m
+
+
 def _phones(text: str) -> Iterator[Span]:
-    for m in _PHONE.finditer(text):
+    for m in _tried(_PHONE_START, _PHONE, text):
         if not _of_a_thing(text, m.start()):
             yield Span(m.start(), m.end(), "phone")
 
 
 def _ids(text: str) -> Iterator[Span]:
-    for m in _ID.finditer(text):
+    for m in _tried(_ID_START, _ID, text):
         if m.group("birth") and not _birthday(m.group("birth")):
             continue
         if not _of_a_thing(text, m.start()):
@@ -183,14 +195,22 @@ def _likely(name: str) -> bool:
 def _unlisted_names(text: str, known: set[int]) -> Iterator[Span]:
     """Names of families outside the lists, by what stands around them: a title, a label, or for Latin ones words that only go
     with a person. ``known`` are the places of names found by the lists."""
-    for pattern in (_ANY_TITLED, _ANY_LABELLED):
-        for m in pattern.finditer(text):
-            if m.start("name") not in known and _likely(m.group("name")):
-                yield Span(m.start("name"), m.end("name"), "name")
+    for near in _TITLE_NEAR.finditer(text):
+        end = near.start() + 1
+        for back in (5, 4, 3):  # three syllables, the longest spelling first
+            m = _ANY_TITLED.match(text, end - back) if end >= back else None
+            if m and m.end("name") == end and m.start("name") not in known and _likely(m.group("name")):
+                yield Span(m.start("name"), end, "name")
+                break
+    for m in _ANY_LABELLED.finditer(text):
+        if m.start("name") not in known and _likely(m.group("name")):
+            yield Span(m.start("name"), m.end("name"), "name")
     at = 0
     while m := _TWO_WORDS.search(text, at):
         a, b = m.group("a"), m.group("b")
         at = m.end("a")  # the second word may be the first of a name
+        if m.start() and _JOINED.match(text[m.start() - 1]):
+            continue
         if m.start() in known or a in _STOP or a in _FIRM or b in _STOP or b in _FIRM:
             continue
         firm = re.match(r" ([A-Z][A-Za-z]+)", text[m.end() : m.end() + 40])
