@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,13 +64,13 @@ def typed(df: DataFrame) -> DataFrame:
     return df.select(*[one(c) if c in text and c not in {"file"} else F.col(c) for c in df.columns])
 
 
-def normalized(records: DataFrame, metas: DataFrame, feed: str) -> DataFrame:
+def normalized(records: DataFrame, metas: DataFrame, feed: str, hold: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Typed rows of a feed with ``_source_file, _window_start, _window_end, _business_code`` and ``year, month`` of the event.
 
     The event's month comes from the first event column that the feed has; a row without one takes its window's month, and
-    ``unknown`` / 01 where the window has none.
+    ``unknown`` / 01 where the window has none. ``hold`` may store the deduplicated records, which are needed twice.
     """
-    rows = typed(aliased(dedupe_records(records, feed), feed).drop("record"))
+    rows = typed(aliased(hold(dedupe_records(records, feed)), feed).drop("record"))
     info = metas.select("file", *[F.col("meta")[k].alias(c) for c, k in (("_window_start", "window_start"), ("_window_end", "window_end"), ("_business_code", "business_code"))])
     out = rows.join(info, "file", "left").withColumnRenamed("file", "_source_file")
     event = next((F.col(c) for c in EVENT_COLUMNS.get(feed, []) if c in rows.columns), F.lit(None).cast("timestamp"))

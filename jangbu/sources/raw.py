@@ -6,9 +6,11 @@ import gzip
 import json
 import os
 import shutil
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import asdict, dataclass
 from functools import reduce
+from itertools import chain, groupby
+from operator import itemgetter
 from pathlib import Path
 
 import pandas as pd
@@ -25,14 +27,15 @@ def read_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     return lines.where(F.trim("value") != "")
 
 
-def split_meta(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(one row a file with the merged meta map, records ``file, pos, record``). Later meta lines win over earlier."""
-    is_meta = F.get_json_object("value", f"$.{META}")
-    tagged = lines.withColumn("meta", is_meta)
+def split_meta(lines: DataFrame, hold: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
+    """(one row a file with the merged meta map, records ``file, pos, record``). Later meta lines win over earlier.
+    ``hold`` may store the parsed lines, which both are made of."""
+    meta = F.get_json_object("value", f"$.{META}")
+    tagged = hold(lines.select("file", "pos", meta.alias("meta"), F.when(meta.isNull(), F.from_json("value", RECORD)).alias("record")))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", "meta"))), lambda x: F.from_json(x["meta"], RECORD))
     merged = F.aggregate(ordered, F.create_map().cast(RECORD), lambda acc, m: F.map_concat(F.map_filter(acc, lambda k, _: ~F.map_contains_key(m, k)), m))
     metas = tagged.where("meta is not null").groupBy("file").agg(merged.alias("meta"))
-    records = tagged.where("meta is null").select("file", "pos", F.from_json("value", RECORD).alias("record"))
+    records = tagged.where("meta is null").select("file", "pos", "record")
     return metas, records
 
 
@@ -64,8 +67,8 @@ class WindowWriter:
         self.part.unlink(missing_ok=True)
 
 
-def write_window(path: str | Path, items: Iterable[dict], meta: dict) -> None:
-    """A complete window file under its name, or none: it is renamed when it is whole."""
+def write_window(path: str | Path, items: Iterable[dict], meta: dict) -> int:
+    """A complete window file under its name, or none: it is renamed when it is whole. The number of its records."""
     w = WindowWriter(path, meta)
     try:
         w.add(items)
@@ -73,26 +76,36 @@ def write_window(path: str | Path, items: Iterable[dict], meta: dict) -> None:
         w.abandon()
         raise
     w.finish()
+    return w.rows
 
 
 def write_window_files(lines: DataFrame, folder: str, file: str, order: str, payload: str, feed: str) -> DataFrame:
     """Window files made of lines, each by one task: ``file_name, rows``. A line that is no JSON object is left out. ``folder`` is
     one that all tasks see; a file that a lost task left half written never gets its name."""
 
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        name = pdf[file].iloc[0]
-        items = []
-        for text in pdf.sort_values(order)[payload]:
+    def items(texts: Iterable[str]) -> Iterator[dict]:
+        for text in texts:
             try:
                 item = json.loads(text)
             except (TypeError, ValueError):
                 continue
             if isinstance(item, dict):
-                items.append(item)
-        write_window(Path(folder) / name, items, {"feed": feed, "window_start": str(pdf.window_start.iloc[0]), "window_end": str(pdf.window_end.iloc[0])})
-        return pd.DataFrame({"file_name": [name], "rows": [len(items)]})
-
-    return lines.select(file, order, payload, "window_start", "window_end").groupBy(file).applyInPandas(write, "file_name string, rows long")
+                yield item
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        done = []
+        rows = (r for pdf in batches for r in pdf.itertuples(index=False, name=None))
+        for name, own in groupby(rows, key=itemgetter(0)):  # a file may go on in the next batch
+            first = next(own)
+            meta = {"feed": feed, "window_start": str(first[2]), "window_end": str(first[3])}
+            done.append((name, write_window(Path(folder) / name, items(r[1] for r in chain([first], own)), meta)))
+            if len(done) == 1000:
+                yield pd.DataFrame(done, columns=["file_name", "rows"])
+                done = []
+        yield pd.DataFrame(done, columns=["file_name", "rows"])
+
+    together = lines.select(file, order, payload, "window_start", "window_end").repartition(file).sortWithinPartitions(F.col(file), F.col(order).asc_nulls_last())
+    return together.select(file, payload, "window_start", "window_end").mapInPandas(write, "file_name string, rows long")
 
 
 def check_windows(plan: DataFrame, folder: str) -> DataFrame:

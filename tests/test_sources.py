@@ -392,6 +392,37 @@ def test_stream_picks_up_new_files_once(spark, tmp_path):
     assert rows(spark.read.parquet(out).select("bid_notice_no")) == [("1",), ("1",), ("2",)]
 
 
+def test_stream_takes_many_files_a_batch(spark, tmp_path):
+    from jangbu.streaming.windows import stream_windows
+
+    folder, before = tmp_path / "raw", spark.conf.getAll
+    for k in range(70):
+        window(folder / f"bids_{k}_20260801_20260831.jsonl.gz", [{"bidNtceNo": "1", "bidNtceDate": "2026-08-02"}, {"bidNtceNo": str(k + 2), "bidNtceDate": "2026-09-02"}, {"bidNtceNo": "1", "bidNtceDate": "2026-08-03"}])
+    run = lambda name, **size: stream_windows(spark, str(folder), "bids", str(tmp_path / name), str(tmp_path / f"{name}-cp"), **size).awaitTermination(120)
+    of = lambda name: rows(spark.read.parquet(str(tmp_path / name)).select("_source_file", "bid_notice_no", F.col("bid_notice_date").cast("string"), "year", "month"))
+    run("whole")
+    assert [p.name for p in (tmp_path / "whole").iterdir()] == ["batch=0"]
+    run("cut", batch_files=40)
+    assert sorted(p.name for p in (tmp_path / "cut").iterdir()) == ["batch=0", "batch=1"]
+    assert len(of("whole")) == 140 and of("whole") == of("cut")
+    assert not spark.sparkContext._jsc.getPersistentRDDs() and spark.conf.getAll == before
+
+
+def test_window_files_of_lines(spark, tmp_path):
+    days = ("2026-08-01", "2026-08-07")
+    lines = [("a.gz", k, f'{{"n": {k}}}', *days) for k in range(9, 0, -1)] + [("a.gz", 10, "no JSON", *days), ("a.gz", None, '{"n": "last"}', *days), ("b.gz", 1, "[1]", *days), ("b.gz", 2, None, *days), ("c.gz", 1, '{"가": 1.50}', *days)]
+    df = spark.createDataFrame(lines, "f string, k int, p string, window_start string, window_end string")
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4)  # a file spans batches
+    try:
+        assert rows(W.write_window_files(df, str(tmp_path), "f", "k", "p", "contracts")) == [("a.gz", 10), ("b.gz", 0), ("c.gz", 1)]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    read = {p.name: [json.loads(x) for x in gzip.open(p, "rt", encoding="utf-8")] for p in tmp_path.iterdir()}
+    assert [x["n"] for x in read["a.gz"][1:-1]] == [*range(1, 10), "last"] and read["b.gz"][1:-1] == [] and read["c.gz"][1:-1] == [{"가": 1.5}]
+    assert all(x[-1][W.META] == {"feed": "contracts", "window_start": days[0], "window_end": days[1], "status": "complete", "rows": len(x) - 2} for x in read.values())
+
+
 def test_streamed_event_counts(spark, tmp_path):
     from jangbu.streaming.windows import event_counts
 
